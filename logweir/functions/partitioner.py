@@ -30,36 +30,44 @@ def _fold(value: Column, bits: int) -> Column:
     return value.bitwiseXOR(F.shiftright(value, bits))
 
 
-def _word(digits: Column, index: Column) -> Column:
-    """Little-endian 32-bit word of a key given as hex digits; missing bytes count as zero."""
-    pairs = [F.substring(digits, index * 8 + low, F.lit(2)) for low in (7, 5, 3, 1)]
-    return F.conv(F.concat(F.lit("0"), *pairs), 16, 10).cast("bigint")
+def _number(digits: Column, word: Column) -> Column:
+    """Big-endian number of the four bytes at ``word``; bytes past the end count as zero."""
+    piece = F.rpad(F.substring(digits, word * 8 + 1, F.lit(8)), 8, "0")
+    return F.conv(piece, 16, 10).cast("bigint")
+
+
+def _swapped(big: Column) -> Column:
+    return (
+        F.shiftright(big, 24)
+        .bitwiseOR(F.shiftright(big, 8).bitwiseAND(F.lit(0xFF00)))
+        .bitwiseOR(F.shiftleft(big, 8).bitwiseAND(F.lit(0xFF0000)))
+        .bitwiseOR(F.shiftleft(big.bitwiseAND(F.lit(0xFF)), 24))
+    )
 
 
 def _mix(state: Column, scaled: Column) -> Column:
     return _times(state).bitwiseXOR(_times(_fold(scaled, SHIFT)))
 
 
-def murmur2(key: Column | str) -> Column:
-    """Unsigned murmur2 of the key's UTF-8 bytes, as bigint; NULL for a NULL key."""
-    raw = F.encode(as_col(key), "UTF-8")
-    digits, size = F.hex(raw), F.octet_length(raw)
-    words = F.floor(size / 4).cast("int")
+def _hash(digits: Column) -> Column:
+    size = F.shiftright(F.octet_length(digits), 1)
+    words = F.shiftright(size, 2)
     start = F.lit(SEED).bitwiseXOR(size.cast("bigint"))
-    body = F.when(
-        words > 0,
-        F.aggregate(
-            F.transform(F.sequence(F.lit(0), words - 1), lambda i: _times(_word(digits, i))),
-            start,
-            _mix,
-        ),
-    ).otherwise(start)
+    numbers = F.transform(F.sequence(F.lit(0), words - 1), lambda i: _number(digits, i))
+    scaled = F.transform(numbers, lambda big: _times(_swapped(big)))
+    body = F.when(words > 0, F.aggregate(scaled, start, _mix)).otherwise(start)
 
     # One to three bytes may be left; they read as one more word.
-    mixed = F.when(size % 4 == 0, body).otherwise(_times(body.bitwiseXOR(_word(digits, words))))
+    tail = _let(_number(digits, words), lambda big: _times(body.bitwiseXOR(_swapped(big))))
+    mixed = F.when(size.bitwiseAND(F.lit(3)) == 0, body).otherwise(tail)
     return _let(_let(mixed, lambda h: _times(_fold(h, 13))), lambda h: _fold(h, 15))
 
 
+def murmur2(key: Column | str) -> Column:
+    """Unsigned murmur2 of the key's UTF-8 bytes, as bigint; NULL for a NULL key."""
+    return _let(F.hex(F.encode(as_col(key), "UTF-8")), _hash)
+
+
 def key_partition(
     key: Column | str, partitions: int, spread: Column | str | None = None
 ) -> Column:

@@ -31,6 +31,7 @@ from .tables import (
     placed_log,
     raw_log,
     redelivered,
+    renumbered_log,
     sagas,
     table,
     with_payload,
@@ -354,9 +355,21 @@ def end_offsets(spark, sf_dir):
     return log_store.end_offsets(offset_log(spark, sf_dir))
 
 
+@query(sql.LOG_OFFSETS)
+def log_offsets(spark, sf_dir):
+    """Offsets without gaps, numbered inside every partition in log order."""
+    return renumbered_log(spark, sf_dir).select("partition", "offset", "key", "event_id")
+
+
+@query(sql.LAST_N)
+def last_n(spark, sf_dir):
+    """The last 12 records of every partition by rank."""
+    return log_store.last_n(offset_log(spark, sf_dir), 12).select("partition", "offset", "key", "event_type")
+
+
 @query(sql.TAIL_READ)
 def tail_read(spark, sf_dir):
-    """The last 12 records of every partition, with type and status."""
+    """The last 12 offsets of every partition, with type and status."""
     log = with_payload(offset_log(spark, sf_dir))
     return log_store.tail_read(log).select(
         "partition", "offset", "key", "event_type", json_text("payload", "status", "-").alias("status")

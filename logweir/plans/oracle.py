@@ -40,8 +40,7 @@ PLACED = f"""{LOG},
 placed as (
   select log.*, cast((hash & 2147483647) % 3 as integer) as partition
   from log join hashed using (key)),
-offs as (
-  select *, row_number() over (partition by partition order by seq) - 1 as "offset" from placed)"""
+offs as (select *, seq as "offset" from placed)"""
 
 STATUS = """case event_type when 'OrderCreated' then 'CREATED' when 'OrderPaid' then 'PAID'
     when 'OrderConfirmed' then 'CONFIRMED' else event_type end"""
@@ -187,6 +186,12 @@ CYCLIC_PRODUCTS = f"select o_orderkey, {USER} as user_id, {PRODUCT} as product f
 
 END_OFFSETS = f"""with {PLACED}
 select 'orders.events' as topic, partition, max("offset") + 1 as end_offset from offs group by partition"""
+LOG_OFFSETS = f"""with {PLACED}
+select partition, row_number() over (partition by partition order by seq) - 1 as "offset", key, event_id
+from placed"""
+LAST_N = f"""with {PLACED},
+ranked as (select *, row_number() over (partition by partition order by "offset" desc) as r from offs)
+select partition, "offset", key, event_type from ranked where r <= 12"""
 TAIL_READ = f"""with {PLACED},
 ends as (select partition, max("offset") + 1 as e from offs group by partition)
 select partition, "offset", key, event_type, '-' as status

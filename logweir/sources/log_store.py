@@ -96,20 +96,34 @@ def end_offsets(log: DataFrame) -> DataFrame:
 
 
 def tail_read(log: DataFrame, n: int = 12, partitions: Iterable[int] | None = None) -> DataFrame:
-    """The last ``n`` offsets of every partition, oldest first within each.
+    """Records with ``offset >= max(0, end - n)`` in every partition of the log.
 
-    The ends are one row per partition of the log, so the join back is a broadcast of a handful
-    of rows and the log is filtered where it is read, without sorting it.
+    The ends come from a scan of the position columns alone and are one row per partition, so
+    they are broadcast. Their lowest bound is a scalar subquery on the offset, which reaches the
+    parquet scan once it is known and lets it skip the row groups before the tail.
     """
     chosen = log if partitions is None else log.where(F.col("partition").isin(*partitions))
-    ends = F.broadcast(end_offsets(chosen))
+    bounds = end_offsets(chosen).select(
+        "topic", "partition", F.greatest(F.lit(0), F.col("end_offset") - n).alias("_from")
+    )
+    lowest = bounds.agg(F.min("_from")).scalar()
     return (
-        chosen.join(ends, ["topic", "partition"])
-        .where(F.col("offset") >= F.greatest(F.lit(0), F.col("end_offset") - n))
-        .drop("end_offset")
+        chosen.where(F.col("offset") >= lowest)
+        .join(F.broadcast(bounds), ["topic", "partition"])
+        .where(F.col("offset") >= F.col("_from"))
+        .drop("_from")
     )
 
 
+def last_n(log: DataFrame, n: int, order: str = "offset") -> DataFrame:
+    """The last ``n`` records of every partition; equals ``tail_read`` where offsets have no gaps.
+
+    Spark keeps only ``n`` rows per partition of the log in each task before the shuffle.
+    """
+    newest = Window.partitionBy("topic", "partition").orderBy(F.desc(order))
+    return log.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= n).drop("_rank")
+
+
 def bounded_read(log: DataFrame, expected: int) -> DataFrame:
     """At most ``expected`` records in (topic, partition, offset) order: a top-k, never a full sort."""
     return log.orderBy("topic", "partition", "offset").limit(expected)
