@@ -9,6 +9,17 @@ from ..schema import ENVELOPE_FIELDS
 from .columns import as_col
 from .json_fields import is_object, text_or
 
+DECODED = (
+    "event_id",
+    "event_type",
+    "event_version",
+    "occurred_at",
+    "producer",
+    "correlation_id",
+    "aggregate_id",
+    "payload",
+)
+
 
 def stable_id(*parts: Column | str) -> Column:
     """Id derived from content, so that a job run again gives its events the same ids."""
@@ -63,18 +74,21 @@ def decode_log(log: DataFrame, payload_fields: list[str] | None = None) -> DataF
 
     Stored this way, later filters on type or aggregate reach the parquet scan and parse nothing.
     Rows whose value is not a JSON object are left out here; ``split_valid`` keeps them.
+
+    ``inline`` makes the parsed struct a row of its own. Catalyst does not move later filters
+    below it, where it would parse the text a second time just to evaluate them.
     """
-    parsed = log.where(is_object("value")).withColumn("_e", parse_envelope("value", payload_fields))
-    kept = [c for c in log.columns if c != "value"]
-    names = {
-        "event_id": text_or("_e.eventId"),
-        "event_type": text_or("_e.eventType"),
-        "event_version": F.coalesce(F.col("_e.eventVersion"), F.lit(0)),
-        "occurred_at": F.try_to_timestamp(F.col("_e.occurredAt")),
-        "producer": F.col("_e.producer"),
-        "correlation_id": F.col("_e.correlationId"),
-        "aggregate_id": text_or("_e.aggregateId"),
-        "payload": F.col("_e.payload"),
-    }
-    kept = [c for c in kept if c not in names]
-    return parsed.select(*kept, *[expr.alias(name) for name, expr in names.items()])
+    parsed = parse_envelope("value", payload_fields)
+    kept = [c for c in log.columns if c != "value" and c not in DECODED]
+    rows = log.select(*kept, F.inline(F.when(is_object("value"), F.array(parsed))))
+    return rows.select(
+        *kept,
+        text_or("eventId").alias("event_id"),
+        text_or("eventType").alias("event_type"),
+        F.coalesce("eventVersion", F.lit(0)).alias("event_version"),
+        F.try_to_timestamp(F.col("occurredAt")).alias("occurred_at"),
+        "producer",
+        F.col("correlationId").alias("correlation_id"),
+        text_or("aggregateId").alias("aggregate_id"),
+        "payload",
+    )

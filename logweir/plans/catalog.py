@@ -197,12 +197,13 @@ def outbox_write(spark, sf_dir):
     root = run_dir(spark, "outbox")
     outbox.write_outbox(order_changes(spark, sf_dir), root, "b1")
     orders = outbox.read_committed(spark, root, "orders").select("id", "status", "amount")
-    events = outbox.read_committed(spark, root, "outbox").select(
+    written = outbox.read_committed(spark, root, "outbox")
+    events = written.withColumn("_e", parse_envelope("payload", ["amount"])).select(
         F.col("aggregate_id").alias("id"),
         F.col("id").alias("event_id"),
         "event_type",
-        json_int("payload", "payload.amount").alias("event_amount"),
-        (json_text("payload", "eventId") == F.col("id")).alias("ids_agree"),
+        int_or("_e.payload.amount").alias("event_amount"),
+        (F.col("_e.eventId") == F.col("id")).alias("ids_agree"),
     )
     return orders.join(events, "id", "full_outer")
 

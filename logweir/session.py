@@ -51,6 +51,12 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    settings = spark._jsparkSession.sessionState().newHadoopConf()
+    return location.getFileSystem(settings).exists(location)
+
+
 def lookup_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """Driver-built rules as a DataFrame, hinted for broadcast only while they are few.
 

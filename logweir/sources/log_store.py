@@ -16,7 +16,7 @@ from ..functions.columns import as_col
 from ..functions.json_fields import is_object
 from ..functions.partitioner import key_partition
 from ..schema import HEADERS, LOG_SCHEMA, PARTITIONS
-from ..session import run_dir
+from ..session import path_exists, run_dir
 
 FILE_COLUMNS = LOG_SCHEMA.fieldNames()
 STORED_SCHEMA = T.StructType([*LOG_SCHEMA.fields, T.StructField("batch", T.StringType())])
@@ -227,7 +227,7 @@ def append_log(
     )
     before = Window.partitionBy(*place).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     bases = per_task.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-    if _exists(spark, root):
+    if path_exists(spark, root):
         earlier = end_offsets(read_log(spark, root).where(F.col("batch") != batch))
         bases = bases.join(earlier, place, "left")
     else:
@@ -256,11 +256,6 @@ def append_log(
     return delivery_report(read_log(spark, root).where(F.col("batch") == batch))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(location)
-
-
 def delivery_report(log: DataFrame) -> DataFrame:
     """Where records of a log landed: count and first and last offset per partition."""
     return log.groupBy("topic", "partition").agg(

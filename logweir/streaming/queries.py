@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..functions.columns import position
-from ..functions.json_fields import int_or, text_or
 from ..functions.envelope import parse_envelope
+from ..functions.json_fields import int_or, text_or
 from ..operators.inbox import apply_inbox
 from ..operators.projection import fold_orders, order_facts
 from ..operators.retry import DEAD_LETTERS, Tier, retry_stage
 from ..schema import LOG_ORDER
+from ..session import path_exists
 from ..sources.log_store import append_log, classify
 from ..sources.tables import last_per_key
 
@@ -123,9 +123,7 @@ def write_inbox(
 def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A table written by batch id, empty before its first batch."""
     fields = T.StructType([*T.StructType.fromDDL(schema).fields, T.StructField("batch_id", T.LongType())])
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    if not location.getFileSystem(conf).exists(location):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], fields)
     return spark.read.schema(fields).parquet(path)
 
@@ -195,6 +193,3 @@ def write_append(
     writer = writer.option("checkpointLocation", checkpoint).outputMode("append")
     return writer.partitionBy(*partition_by) if partition_by else writer
 
-
-def each_batch(rows: DataFrame, checkpoint: str, fn: Callable[[DataFrame, int], None]) -> DataStreamWriter:
-    return rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(fn)
