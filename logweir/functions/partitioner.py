@@ -74,5 +74,7 @@ def key_partition(
     """Partition of a key. Rows without a key are spread by ``spread`` (an event id), if given."""
     placed = murmur2(key).bitwiseAND(F.lit(0x7FFFFFFF)) % F.lit(partitions)
     if spread is not None:
-        placed = F.coalesce(placed, F.pmod(F.xxhash64(as_col(spread)), F.lit(partitions)))
+        # The last value is never reached; with it Catalyst knows that the result is not null.
+        spread_out = F.pmod(F.xxhash64(as_col(spread)), F.lit(partitions))
+        placed = F.coalesce(placed, spread_out, F.lit(0))
     return placed.cast("int")

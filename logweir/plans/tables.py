@@ -40,9 +40,8 @@ def event_rows(spark: SparkSession, sf_dir: str, types: Iterable[str] | None = N
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
+    """``events`` as a stream, whether the table is one file or a folder of files."""
+    return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parque[t]")
 
 
 def _source_types(types: Iterable[str]):
@@ -75,8 +74,13 @@ def order_log(spark: SparkSession, sf_dir: str, types: Iterable[str] | None = No
 
 
 def placed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order log with the partition of every key."""
-    return order_log(spark, sf_dir).withColumn("partition", key_partition("key", PARTITIONS))
+    """The order log with the partition of every key.
+
+    Spreading rows without a key makes the partition non-null, which spares joins on it a filter
+    that would compute it a second time.
+    """
+    partition = key_partition("key", PARTITIONS, spread="event_id")
+    return order_log(spark, sf_dir).withColumn("partition", partition)
 
 
 def offset_log(spark: SparkSession, sf_dir: str) -> DataFrame:
