@@ -51,10 +51,21 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     settings = spark._jsparkSession.sessionState().newHadoopConf()
-    return location.getFileSystem(settings).exists(location)
+    return location.getFileSystem(settings), location
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, location = _file_system(spark, path)
+    return files.exists(location)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Removes a staging folder this library has written."""
+    files, location = _file_system(spark, path)
+    files.delete(location, True)
 
 
 def lookup_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

@@ -16,7 +16,7 @@ from ..functions.columns import as_col
 from ..functions.json_fields import is_object
 from ..functions.partitioner import key_partition
 from ..schema import HEADERS, LOG_SCHEMA, PARTITIONS
-from ..session import path_exists, run_dir
+from ..session import drop_folder, path_exists, run_dir
 
 FILE_COLUMNS = LOG_SCHEMA.fieldNames()
 STORED_SCHEMA = T.StructType([*LOG_SCHEMA.fields, T.StructField("batch", T.StringType())])
@@ -210,11 +210,12 @@ def append_log(
         rows = rows.withColumn("headers", F.lit(None).cast(HEADERS))
 
     place = ["topic", "partition"]
-    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = [*place, *order]
     staged_at = run_dir(spark, "stage")
+    # Without a number of tasks adaptive execution merges neighbouring ranges that are small.
+    spread_out = rows.repartitionByRange(tasks, *ranges) if tasks else rows.repartitionByRange(*ranges)
     (
-        rows.repartitionByRange(tasks, *place, *order)
-        .sortWithinPartitions(*place, *order)
+        spread_out.sortWithinPartitions(*ranges)
         .withColumn("_row", F.monotonically_increasing_id())
         .select(*place, "timestamp", "key", "value", "headers", "_row")
         .write.parquet(staged_at)
@@ -232,20 +233,15 @@ def append_log(
         bases = bases.join(earlier, place, "left")
     else:
         bases = bases.withColumn("end_offset", F.lit(None).cast("bigint"))
-    bases = bases.select(
-        *place,
-        "_task",
-        "_rows",
-        (F.coalesce("end_offset", F.lit(0)) + F.col("_before")).alias("_base"),
-        "_first",
-    )
+    shift = F.coalesce("end_offset", F.lit(0)) + F.col("_before") - F.col("_first")
+    bases = bases.select(*place, "_task", shift.alias("_shift"))
 
     # One row per task and partition of the log: bounded by tasks + number of log partitions.
     placed = staged.withColumn("_task", F.shiftright("_row", 33)).join(
-        F.broadcast(bases.drop("_rows")), [*place, "_task"]
+        F.broadcast(bases), [*place, "_task"]
     )
     (
-        placed.withColumn("offset", F.col("_base") + F.col("_row") - F.col("_first"))
+        placed.withColumn("offset", F.col("_row") + F.col("_shift"))
         .withColumn("batch", F.lit(batch))
         .select(*FILE_COLUMNS, "batch")
         .write.mode("overwrite")
@@ -253,6 +249,7 @@ def append_log(
         .partitionBy("topic", "batch")
         .parquet(root)
     )
+    drop_folder(spark, staged_at)
     return delivery_report(read_log(spark, root).where(F.col("batch") == batch))
 
 
