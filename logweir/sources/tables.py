@@ -93,6 +93,34 @@ def reset_tables(spark: SparkSession, root: str) -> None:
         empty_table(spark, name).write.mode("overwrite").parquet(f"{root}/{name}")
 
 
+# ---------------------------------------------------------------- databases
+
+
+def jdbc_options(
+    url: str,
+    table: str,
+    user: str,
+    password: str,
+    split_by: tuple[str, object, object, int] | None = None,
+    **extra: str,
+) -> dict[str, str]:
+    """Options for ``format("jdbc")``; filters such as ``pending`` are pushed to the database.
+
+    ``split_by`` (column, lowest, highest, parts) makes Spark read in parallel; without it one
+    task reads the whole table. The driver jar is the caller's.
+    """
+    options = {"url": url, "dbtable": table, "user": user, "password": password}
+    if split_by:
+        column, lowest, highest, parts = split_by
+        options |= {
+            "partitionColumn": column,
+            "lowerBound": str(lowest),
+            "upperBound": str(highest),
+            "numPartitions": str(parts),
+        }
+    return {**options, **extra}
+
+
 # ---------------------------------------------------------------- commits
 
 

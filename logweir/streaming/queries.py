@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.envelope import parse_envelope
 from ..functions.json_fields import int_or, text_or
-from ..operators.inbox import apply_inbox
+from ..operators.inbox import first_payments, fresh_events
 from ..operators.projection import fold_orders, order_facts
 from ..operators.retry import DEAD_LETTERS, Tier, retry_stage
 from ..schema import LOG_ORDER
@@ -103,19 +104,22 @@ def write_inbox(
 ) -> DataStreamWriter:
     """The exact form: per micro-batch the batch operator against the tables written so far.
 
-    Unlike plain de-duplication it keeps the first payment by log position within a batch. Both
-    deltas are written under the batch id, and a batch run again ignores its own earlier output.
+    Unlike plain de-duplication it keeps the first payment by log position within a batch. The
+    new inbox rows are stored first and the payments derived from them, so the log is reduced
+    once. Both are stored under the batch id, and a batch run again ignores its own earlier output.
     """
     order = list(order)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         earlier = F.col("batch_id") < batch_id
-        inbox = _stored(spark, f"{root}/inbox", "event_id string").where(earlier)
-        payments = _stored(spark, f"{root}/payments", "order_id string, amount int").where(earlier)
-        seen, paid = apply_inbox(batch, inbox, payments, order, event_type, amount)
-        paid.write.mode("overwrite").parquet(f"{root}/payments/batch_id={batch_id}")
-        seen.write.mode("overwrite").parquet(f"{root}/inbox/batch_id={batch_id}")
+        seen = _stored(spark, f"{root}/inbox", "event_id string").where(earlier)
+        paid = _stored(spark, f"{root}/payments", "order_id string, amount int").where(earlier)
+        here = f"{root}/inbox/batch_id={batch_id}"
+        fresh = fresh_events(batch, seen, order, event_type, amount)
+        fresh.write.mode("overwrite").parquet(here)
+        new = first_payments(spark.read.schema(fresh.schema).parquet(here), paid, order)
+        new.write.mode("overwrite").parquet(f"{root}/payments/batch_id={batch_id}")
 
     return events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
 
@@ -148,13 +152,15 @@ def write_tier(
     """
 
     def forward(batch: DataFrame, batch_id: int) -> None:
-        staged = retry_stage(batch, tier, dead_letters, case)
+        # Read for the successes, for the ranges of the failures and for writing them.
+        staged = retry_stage(batch, tier, dead_letters, case).persist(StorageLevel.DISK_ONLY)
         done = staged.where(F.col("outcome") == "processed").withColumn("attempt", F.lit(tier.attempt))
         done.select("key", "value", "attempt").write.mode("overwrite").parquet(
             f"{done_root}/attempt_no={tier.attempt}/batch_id={batch_id}"
         )
         failed = staged.where(F.col("outcome") == "forwarded").withColumn("topic", F.col("target"))
         append_log(failed, log_root, f"{tier.topic}-{batch_id}", order=order)
+        staged.unpersist()
 
     return records.writeStream.option("checkpointLocation", checkpoint).foreachBatch(forward)
 

@@ -188,3 +188,42 @@ def test_a_version_is_seen_only_once_committed(spark, tmp_path):
     tables.commit(spark, root, "00000002")
     assert tables.read_version(spark, root).count() == 9
     assert tables.read_version(spark, root, 1).count() == 3
+
+
+def test_jdbc_options_split_the_read():
+    options = tables.jdbc_options("jdbc:x", "outbox", "u", "p", ("created_at", "2024-01-01", "2024-02-01", 8), fetchsize="1000")
+    assert options["numPartitions"] == "8" and options["fetchsize"] == "1000" and options["dbtable"] == "outbox"
+    assert "partitionColumn" not in tables.jdbc_options("jdbc:x", "outbox", "u", "p")
+
+
+def test_the_shared_folder_named_by_the_cluster_is_used(spark):
+    from types import SimpleNamespace
+
+    from logweir.session import run_dir, shared_root
+
+    class Context:
+        directory = None
+
+        def getCheckpointDir(self):
+            return self.directory
+
+        def setCheckpointDir(self, value):
+            self.directory = value
+
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default=None: "/shared/checkpoints"), sparkContext=Context()
+    )
+    assert shared_root(cluster) == "/shared/checkpoints" == cluster.sparkContext.directory
+    assert run_dir(cluster, "a").startswith("/shared/checkpoints/a-")
+    assert run_dir(spark, "a") != run_dir(spark, "a")
+
+
+def test_staging_folders_do_not_stay(spark, tmp_path):
+    import os
+
+    from logweir.session import shared_root
+
+    folder = shared_root(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    ls.append_log(some(spark, range(5)), str(tmp_path / "log"), "b1", order=["seq"])
+    assert not [f for f in set(os.listdir(folder)) - before if f.startswith("stage-")]
