@@ -32,6 +32,11 @@ def json_int(doc: Column | str, path: str, default: int = 0) -> Column:
     return int_or(F.get_json_object(as_col(doc), f"$.{path}"), default)
 
 
+def json_fields(doc: Column | str, names: Iterable[str]) -> Column:
+    """Struct of several text fields, read in one pass over the text; NULL where absent."""
+    return F.from_json(as_col(doc), ", ".join(f"`{name}` string" for name in names))
+
+
 def field_names(doc: Column | str) -> Column:
     """Names present in a JSON object, explicit nulls included; NULL for anything but an object."""
     return F.json_object_keys(as_col(doc))

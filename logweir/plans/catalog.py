@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.codes import PRODUCTS, cyclic, header_text, user_of_order
 from ..functions.envelope import decode_log, parse_envelope, stable_id
-from ..functions.json_fields import int_or, json_int, json_text, text_or
+from ..functions.json_fields import int_or, json_fields, json_int, json_text, text_or
 from ..functions.partitioner import key_partition, murmur2
 from ..operators import contract, delivery, facts, inbox, outbox, projection, publishing, retry, routing, saga
 from ..schema import PARTITIONS
@@ -24,6 +24,7 @@ from .tables import (
     damaged_log,
     event_rows,
     event_stream,
+    log_value,
     offset_log,
     order_changes,
     order_log,
@@ -332,10 +333,10 @@ def key_placement(spark, sf_dir):
 def keyed_publish(spark, sf_dir):
     """Placed orders keyed by one of three users, written to the log and read back."""
     numbers = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    placed = publishing.placed_orders(numbers, "o_orderkey", F.col("o_orderdate"))
-    records = placed.select(F.lit("orders.events").alias("topic"), "key", "value", "order_id")
+    records = publishing.placed_orders(numbers, "o_orderkey")
+    value = publishing.placed_value(F.col("o_orderdate"))
     root = run_dir(spark, "keyed")
-    log_store.append_log(records, root, "b1", order=["order_id"])
+    log_store.append_log(records, root, "b1", order=["order_id"], value=value)
     return streams.consume(log_store.read_log(spark, root)).select(
         "partition", "offset", "key", "order_id", "user_id", "product"
     )
@@ -412,8 +413,7 @@ def full_and_resumed_read(spark, sf_dir):
     cut = F.lit("2024-01-16").cast("timestamp_ntz")
     schema = T.StructType.fromDDL("run int, event_type string, event_id string")
     for run, part in ((1, rows.where(F.col("ts") < cut)), (2, rows.where(F.col("ts") >= cut))):
-        records = with_value(as_log(part)).select("topic", "key", "value", "timestamp", "seq")
-        log_store.append_log(records, f"{root}/log", f"b{run}", order=SEQ)
+        log_store.append_log(as_log(part), f"{root}/log", f"b{run}", order=SEQ, value=log_value())
         log = log_store.stream_log(spark, f"{root}/log", ["orders.events"])
         read = log.withColumn("_e", parse_envelope("value")).select(
             F.lit(run).alias("run"), F.col("_e.eventType").alias("event_type"), F.col("_e.eventId").alias("event_id")
@@ -528,13 +528,14 @@ def state_stream(spark, sf_dir):
 @query(sql.PAYLOAD_EXTRACT)
 def payload_extract(spark, sf_dir):
     """Typed fields of the JSON properties, with defaults for what is missing."""
-    return event_rows(spark, sf_dir).select(
+    fields = json_fields("props", ["k", "amount", "product"])
+    return event_rows(spark, sf_dir).withColumn("_p", fields).withColumn("k", int_or("_p.k")).select(
         "event_id",
-        json_int("props", "k").alias("k"),
-        json_int("props", "amount").alias("amount"),
-        json_text("props", "product", "unknown").alias("product"),
-        F.greatest(json_int("props", "k"), F.lit(50)).alias("at_least_50"),
-        F.greatest(F.lit(0), json_int("props", "k") - 12).alias("clamped"),
+        "k",
+        int_or("_p.amount").alias("amount"),
+        text_or("_p.product", "unknown").alias("product"),
+        F.greatest(F.col("k"), F.lit(50)).alias("at_least_50"),
+        F.greatest(F.lit(0), F.col("k") - 12).alias("clamped"),
         F.col("user_id").cast("string").alias("key"),
     )
 

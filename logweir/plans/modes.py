@@ -306,9 +306,9 @@ def audit_replay(spark, root):
 
 def _placed(spark: SparkSession, root: str, name: str, count: int) -> DataFrame:
     numbers = spark.range(1, count + 1).select(as_col("id").cast("int").alias("id"))
-    placed = publishing.placed_orders(numbers, "id", F.current_timestamp())
-    records = placed.select(F.lit(ORDERS).alias("topic"), "key", "value", "order_id")
-    return log_store.append_log(records, f"{root}/log", name, order=["order_id"], tasks=3)
+    records = publishing.placed_orders(numbers, "id", ORDERS)
+    value = publishing.placed_value(F.current_timestamp())
+    return log_store.append_log(records, f"{root}/log", name, order=["order_id"], value=value, tasks=3)
 
 
 @mode("producer")

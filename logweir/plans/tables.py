@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codes import switch
@@ -103,13 +103,16 @@ def redelivered(log: DataFrame) -> DataFrame:
     return log.withColumn("delivery", F.lit(0)).unionByName(again)
 
 
-def with_value(log: DataFrame) -> DataFrame:
-    """Adds the record's ``value``: its envelope as JSON text."""
+def log_value() -> Column:
+    """A record's envelope as JSON text, over the columns of the order log."""
     payload = F.struct("amount", "case")
-    value = build_envelope(
+    return build_envelope(
         F.col("event_id"), F.col("event_type"), F.col("aggregate_id"), payload, F.col("timestamp")
     )
-    return log.withColumn("value", value)
+
+
+def with_value(log: DataFrame) -> DataFrame:
+    return log.withColumn("value", log_value())
 
 
 def with_payload(log: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -187,12 +187,17 @@ def append_log(
     order: Iterable[str],
     partitions: int = PARTITIONS,
     spread: str | None = None,
+    value: Column | None = None,
     tasks: int | None = None,
 ) -> DataFrame:
     """Appends records (``topic, key, value`` and optional ``timestamp, headers``) as one batch.
 
     Partition comes from the key, offset from ``order`` inside the partition, after the offsets
-    already there. Returns the delivery report: per topic and partition the count and offsets.
+    already there. Records without a key are spread by the column ``spread``. Returns the
+    delivery report: per topic and partition the count and offsets.
+
+    Given as an expression over the records' columns, ``value`` is built after the shuffle: then
+    the columns travel instead of the longer text, and drawing the ranges does not build it.
 
     The rows are range-partitioned by (topic, partition, order), so one hot partition is spread
     over many tasks, and written once with their running row ids. The bases that turn row ids
@@ -201,9 +206,8 @@ def append_log(
     spark = records.sparkSession
     order = list(order)
     have = set(records.columns)
-    rows = records.withColumn(
-        "partition", key_partition("key", partitions, spread=as_col(spread or "value"))
-    )
+    keyless = F.struct(*order) if spread is None else F.col(spread)
+    rows = records.withColumn("partition", key_partition("key", partitions, spread=keyless))
     if "timestamp" not in have:
         rows = rows.withColumn("timestamp", F.current_timestamp())
     if "headers" not in have:
@@ -217,6 +221,7 @@ def append_log(
     (
         spread_out.sortWithinPartitions(*ranges)
         .withColumn("_row", F.monotonically_increasing_id())
+        .withColumn("value", F.col("value") if value is None else value)
         .select(*place, "timestamp", "key", "value", "headers", "_row")
         .write.parquet(staged_at)
     )

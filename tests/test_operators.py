@@ -323,8 +323,10 @@ def test_facts_keep_unknown_keys_and_states_take_the_highest_version(spark):
 
 
 def test_placed_orders_are_keyed_by_user(spark):
-    placed = publishing.placed_orders(spark.range(1, 7).withColumnRenamed("id", "n"), "n", F.current_timestamp())
+    placed = publishing.placed_orders(spark.range(1, 7).withColumnRenamed("id", "n"), "n")
     assert rows(placed, "n", "key", "product")[:3] == [(1, "10", "Keyboard"), (2, "20", "Mouse"), (3, "30", "Monitor")]
+    payload = F.get_json_object(publishing.placed_value(F.current_timestamp()), "$.payload")
+    assert placed.where("n = 2").select(payload).first()[0] == '{"orderId":2,"userId":20,"product":"Mouse"}'
 
 
 def test_a_large_lookup_table_is_not_broadcast_by_hint(spark, monkeypatch):
