@@ -56,17 +56,37 @@ def build_envelope(
     )
 
 
+def _envelope_fields(payload_fields: list[str] | None) -> str:
+    payload = "string"
+    if payload_fields:
+        payload = "struct<" + ", ".join(f"`{name}`: string" for name in payload_fields) + ">"
+    return ", ".join(f"{n} {payload if n == 'payload' else t}" for n, t in ENVELOPE_FIELDS)
+
+
 def parse_envelope(value: Column | str, payload_fields: list[str] | None = None) -> Column:
     """Envelope struct read in one pass over the text.
 
     Without ``payload_fields`` the payload stays JSON text. With them it becomes a struct of
     text fields, which saves a second parse when the wanted fields are known.
     """
-    payload = "string"
-    if payload_fields:
-        payload = "struct<" + ", ".join(f"`{name}`: string" for name in payload_fields) + ">"
-    fields = [(n, payload if n == "payload" else t) for n, t in ENVELOPE_FIELDS]
-    return F.from_json(as_col(value), ", ".join(f"{n} {t}" for n, t in fields))
+    return F.from_json(as_col(value), _envelope_fields(payload_fields))
+
+
+def parse_checked(value: Column | str, payload_fields: list[str] | None = None) -> Column:
+    """As ``parse_envelope``, with a last field ``_bad`` that holds the text of doubtful records."""
+    fields = f"{_envelope_fields(payload_fields)}, _bad string"
+    return F.from_json(as_col(value), fields, {"columnNameOfCorruptRecord": "_bad"})
+
+
+def readable(envelope: Column | str, value: Column | str) -> Column:
+    """Whether the text behind a ``parse_checked`` struct is a JSON object.
+
+    A record that parsed cleanly and has an event id is one. Only the others, which may be
+    malformed or merely have a field of another type, are read a second time to find out.
+    """
+    parsed = as_col(envelope)
+    clean = parsed["_bad"].isNull() & parsed["eventId"].isNotNull()
+    return F.coalesce(clean, F.lit(False)) | is_object(value)
 
 
 def decode_log(log: DataFrame, payload_fields: list[str] | None = None) -> DataFrame:
@@ -78,9 +98,9 @@ def decode_log(log: DataFrame, payload_fields: list[str] | None = None) -> DataF
     ``inline`` makes the parsed struct a row of its own. Catalyst does not move later filters
     below it, where it would parse the text a second time just to evaluate them.
     """
-    parsed = parse_envelope("value", payload_fields)
     kept = [c for c in log.columns if c != "value" and c not in DECODED]
-    rows = log.select(*kept, F.inline(F.when(is_object("value"), F.array(parsed))))
+    parsed = log.select(*kept, "value", parse_checked("value", payload_fields).alias("_e"))
+    rows = parsed.select(*kept, F.inline(F.when(readable("_e", "value"), F.array("_e"))))
     return rows.select(
         *kept,
         text_or("eventId").alias("event_id"),

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Tasks that write a few topics keep a writer open for each instead of sorting by topic first.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state."
     "RocksDBStateStoreProvider",
 }

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..functions.envelope import parse_envelope
+from ..functions.envelope import parse_checked, readable
 from ..functions.json_fields import int_or, text_or
 from ..operators.inbox import first_payments, fresh_events
 from ..operators.projection import fold_orders, order_facts
 from ..operators.retry import DEAD_LETTERS, Tier, retry_stage
 from ..schema import LOG_ORDER
 from ..session import path_exists
-from ..sources.log_store import append_log, classify
+from ..sources.log_store import append_log, reject_reason
 from ..sources.tables import last_per_key
 
 
@@ -170,17 +170,16 @@ def write_tier(
 
 def consume(log: DataFrame) -> DataFrame:
     """Placed orders out of raw records, with defaults; malformed records keep their reason."""
-    tagged = classify(log).withColumn(
-        "_p", parse_envelope("value", ["orderId", "userId", "product"])["payload"]
-    )
-    return tagged.select(
+    parsed = log.withColumn("_e", parse_checked("value", ["orderId", "userId", "product"]))
+    reason = F.when(~readable("_e", "value"), reject_reason("value"))
+    return parsed.withColumn("reason", reason).select(
         "topic",
         "partition",
         "offset",
         "key",
-        int_or("_p.orderId").alias("order_id"),
-        int_or("_p.userId").alias("user_id"),
-        text_or("_p.product", "unknown").alias("product"),
+        int_or("_e.payload.orderId").alias("order_id"),
+        int_or("_e.payload.userId").alias("user_id"),
+        text_or("_e.payload.product", "unknown").alias("product"),
         "reason",
         F.when(F.col("reason").isNotNull(), F.col("value")).alias("rejected_value"),
     )

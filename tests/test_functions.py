@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from logweir.functions.codes import PRODUCTS, cyclic, error_headers, error_text, header_text, order_status, user_of_order
-from logweir.functions.envelope import build_envelope, decode_log, parse_envelope, stable_id
+from logweir.functions.envelope import build_envelope, decode_log, parse_checked, parse_envelope, readable, stable_id
 from logweir.functions.json_fields import has_fields, is_object, json_int, json_text, missing_fields
 from logweir.functions.partitioner import key_partition, murmur2
 
@@ -125,3 +125,18 @@ def test_header_is_read_back(spark):
     df = spark.range(1).select(error_headers(error_text(F.lit("pöison"), 1)).alias("headers"))
     assert df.select(header_text("headers")).first()[0] == "case=pöison; attempt=1"
     assert df.select(header_text("headers", "other")).first()[0] is None
+
+
+VALUES = [
+    "{}", '{"eventId":"e1"}', '{"eventId":"e1","eventType":"X", bad', '{"eventId":"e1"', '{"eventId":"e1"} more',
+    '[{"eventId":"e1"}]', "[1]", '"txt"', "null", "", "  ", None, "{bad", "12", '{"eventId":"e1","eventVersion":"x"}',
+    '{"eventId":"e1","payload":[1]}', '{"eventId":"e1","payload":{"a":}}', '{"eventId":"e1","payload":{"a":1}',
+    '{"eventId":"e1","other":[1,2,}', '{"eventId":null,"eventType":"X"}', '{"eventId":"e1",}',
+]
+
+
+@pytest.mark.parametrize("fields", [None, ["amount"]])
+def test_one_pass_check_agrees_with_the_object_test(spark, fields):
+    df = spark.createDataFrame([(v,) for v in VALUES], "value string").withColumn("e", parse_checked("value", fields))
+    assert df.where(readable("e", "value") != is_object("value")).count() == 0
+    assert decode_log(df.select("value"), fields).count() == df.where(is_object("value")).count()
