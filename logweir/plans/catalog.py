@@ -169,7 +169,8 @@ def filtered_count(spark, sf_dir):
 @query(sql.INBOX_STREAM)
 def inbox_stream(spark, sf_dir):
     """Streamed de-duplication by event id over the redelivered log."""
-    once = streams.inbox_stream(redelivered(as_log(event_stream(spark, sf_dir))))
+    log = redelivered(as_log(event_stream(spark, sf_dir)))
+    once = streams.inbox_stream(log, spread=["delivery", "seq"])
     rows = once.select("event_id", "aggregate_id", "amount")
     root = run_dir(spark, "inbox")
     streams.run_available(streams.write_append(rows, f"{root}/out", f"{root}/checkpoint"))

@@ -20,6 +20,9 @@ from ..session import path_exists
 from ..sources.log_store import append_log, reject_reason
 from ..sources.tables import last_per_key
 
+# Parts a hot key is split into by streaming de-duplication.
+SALTS = 16
+
 
 def run_available(writer: DataStreamWriter) -> StreamingQuery:
     """Processes everything present and stops; a kept checkpoint goes on from there next time."""
@@ -72,26 +75,45 @@ def state_stream(states: DataFrame, keys: Iterable[str], version: str = "version
 # ---------------------------------------------------------------- idempotent apply
 
 
-def inbox_stream(events: DataFrame, event_type: str = "OrderPaid", watermark: str | None = None) -> DataFrame:
+def _once(rows: DataFrame, keys: list[str], spread: Sequence[str], within_watermark: bool = False) -> DataFrame:
+    """Each key once, remembered in the state store.
+
+    Streaming de-duplication does not combine before its shuffle. Where ``spread`` names the
+    columns that tell deliveries apart (partition and offset), rows are first reduced per key
+    and one of ``SALTS`` salts, so a key delivered over and over is shared by that many tasks and
+    the last step sees it at most that often. State then holds each key twice.
+    """
+    drop = DataFrame.dropDuplicatesWithinWatermark if within_watermark else DataFrame.dropDuplicates
+    if spread:
+        salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)))
+        rows = drop(salted, [*keys, "_salt"]).drop("_salt")
+    return drop(rows, keys)
+
+
+def inbox_stream(
+    events: DataFrame,
+    event_type: str = "OrderPaid",
+    watermark: str | None = None,
+    spread: Sequence[str] = (),
+) -> DataFrame:
     """Events of a type, each id once.
 
     Without a watermark every id is remembered for good, like an inbox table. With one, state
     stays bounded and a redelivery later than the watermark counts as new.
     """
     wanted = events.where(F.col("event_type") == event_type)
-    if watermark is None:
-        return wanted.dropDuplicates(["event_id"])
-    return wanted.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(["event_id"])
+    if watermark is not None:
+        wanted = wanted.withWatermark("timestamp", watermark)
+    return _once(wanted, ["event_id"], spread, within_watermark=watermark is not None)
 
 
 def payments_stream(
-    events: DataFrame, amount: Column, event_type: str = "OrderPaid"
+    events: DataFrame, amount: Column, event_type: str = "OrderPaid", spread: Sequence[str] = ()
 ) -> DataFrame:
     """Payments, the first to arrive per order, out of events taken once."""
-    once = inbox_stream(events, event_type)
-    return once.select(F.col("aggregate_id").alias("order_id"), amount.alias("amount")).dropDuplicates(
-        ["order_id"]
-    )
+    once = inbox_stream(events, event_type, spread=spread)
+    paid = once.select(F.col("aggregate_id").alias("order_id"), amount.alias("amount"), *spread)
+    return _once(paid, ["order_id"], spread).select("order_id", "amount")
 
 
 def write_inbox(

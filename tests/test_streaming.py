@@ -57,14 +57,28 @@ def test_inbox_dedup(spark, log_root, tmp_path):
     assert len(got) == len(expected) and set(got) == expected
 
 
-def test_inbox_dedup_with_bounded_state(spark, log_root, tmp_path):
-    once = q.inbox_stream(decode_log(_stream(spark, log_root)), watermark="1 day").select("event_id")
+def test_inbox_dedup_of_one_hot_id(spark, tmp_path):
+    root = str(tmp_path / "log")
+    hot = [(i, "same", "OrderPaid", "o1", {"amount": 5}) for i in range(300)]
+    for n in range(2):
+        ls.append_log(records(spark, hot + [(301, "other", "OrderPaid", "o1", {"amount": 5})]), root, f"b{n}", order=["seq"])
+    once = q.inbox_stream(decode_log(_stream(spark, root, per_batch=1)), spread=["partition", "offset"]).select("event_id")
+    q.run_available(q.write_append(once, f"{tmp_path}/out", f"{tmp_path}/cp"))
+    assert rows(spark.read.parquet(f"{tmp_path}/out")) == [("other",), ("same",)]
+
+
+@pytest.mark.parametrize("spread", [[], ["partition", "offset"]])
+def test_inbox_dedup_with_bounded_state(spark, log_root, tmp_path, spread):
+    log = decode_log(_stream(spark, log_root))
+    once = q.inbox_stream(log, watermark="1 day", spread=spread).select("event_id")
     q.run_available(q.write_append(once, f"{tmp_path}/out", f"{tmp_path}/cp"))
     assert spark.read.parquet(f"{tmp_path}/out").count() == len([i for i in _items(120) if i[2] == "OrderPaid"])
 
 
-def test_payments_by_arrival(spark, log_root, tmp_path):
-    paid = q.payments_stream(decode_log(_stream(spark, log_root)), F.get_json_object("payload", "$.amount").cast("int"))
+@pytest.mark.parametrize("spread", [[], ["partition", "offset"]])
+def test_payments_by_arrival(spark, log_root, tmp_path, spread):
+    amount = F.get_json_object("payload", "$.amount").cast("int")
+    paid = q.payments_stream(decode_log(_stream(spark, log_root)), amount, spread=spread)
     q.run_available(q.write_append(paid, f"{tmp_path}/out", f"{tmp_path}/cp"))
     got = spark.read.parquet(f"{tmp_path}/out")
     assert got.count() == got.select("order_id").distinct().count()
