@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import decoded, plan_of, records, rows
+from helpers import decoded, plan_of, rows
 from logweir.functions.codes import header_text
 from logweir.operators import contract, delivery, facts, inbox, outbox, projection, publishing, retry, routing, saga
 from logweir.sources import log_store, tables
