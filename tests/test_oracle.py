@@ -6,8 +6,10 @@ from compare import connect, differences
 import __spark_entry__ as entry
 from helpers import plan_of
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+from logweir.plans.catalog import QUERIES as CORE
+
+QUERIES = {name: query for name, query in entry.queries().items() if name in CORE}
+ORACLES = {name: sql for name, sql in entry.oracle_sql().items() if name in CORE}
 
 
 @pytest.fixture(scope="module")
