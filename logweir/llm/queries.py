@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, simhash
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), tokenizer_path(), public_tokenizers.PATTERN)
 
 
-QUERIES = {"op5_byte_bpe": op5_byte_bpe}
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=2)
+
+
+QUERIES = {"op2_simhash_dedup": op2_simhash_dedup, "op5_byte_bpe": op5_byte_bpe}
 
 ORACLES: dict[str, str] = {}
