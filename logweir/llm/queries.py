@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, simhash
+from . import bpe, mixing, simhash
 from .common import table
 
 
@@ -24,6 +24,14 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=2)
 
 
-QUERIES = {"op2_simhash_dedup": op2_simhash_dedup, "op5_byte_bpe": op5_byte_bpe}
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op2_simhash_dedup": op2_simhash_dedup,
+    "op5_byte_bpe": op5_byte_bpe,
+    "op8_source_mix": op8_source_mix,
+}
 
 ORACLES: dict[str, str] = {}
