@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, simhash
+from . import bpe, mixing, secrets, simhash
 from .common import table
 
 
@@ -14,6 +14,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -30,6 +34,7 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op4_secret_scan": op4_secret_scan,
     "op5_byte_bpe": op5_byte_bpe,
     "op8_source_mix": op8_source_mix,
 }
