@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, secrets, simhash
+from . import bpe, language, mixing, quality, secrets, simhash
 from .common import table
 
 
@@ -32,11 +32,28 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predictions(table(spark, sf_dir, "documents"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op2_simhash_dedup": op2_simhash_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op5_byte_bpe": op5_byte_bpe,
     "op8_source_mix": op8_source_mix,
+    "op9_language_id": op9_language_id,
+    "op10_quality_rules": op10_quality_rules,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {}
