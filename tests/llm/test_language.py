@@ -32,9 +32,9 @@ def test_scores_equal_a_plain_sum():
 
 
 def test_edge_cases(spark, docs_of):
-    docs = docs_of([(1, None), (2, ""), (None, "the a"), (3, "x" * 50_000), (3, "the cat"), (4, "!! 12")])
+    docs = docs_of([(1, None), (2, ""), (None, "the a"), (30, "x" * 50_000), (30, "the cat"), (4, "!! 12")] + [(i, "le chat") for i in range(40, 50)])
     rows = language.predictions(docs).collect()
-    assert len(rows) == 6
+    assert len(rows) == 16
     assert sum(r.lang_pred == "und" for r in rows) == 3
     assert language.predictions(docs.limit(0)).count() == 0
     unlearned = docs.withColumn("lang", docs["lang"].substr(9, 9)).where("doc_id = 99")
