@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language, mixing, quality, secrets, simhash
+from . import bpe, fingerprints, language, mixing, quality, secrets, simhash
 from .common import table
 
 
@@ -28,6 +28,10 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=2)
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprinted(table(spark, sf_dir, "documents"))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op2_simhash_dedup": op2_simhash_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_fingerprints": op6_fingerprints,
     "op8_source_mix": op8_source_mix,
     "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
