@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, language, mixing, quality, secrets, simhash
+from . import bpe, fingerprints, language, mixing, quality, secrets, simhash, vptree
 from .common import table
 
 
@@ -32,6 +32,11 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprinted(table(spark, sf_dir, "documents"))
 
 
+def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vptree.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf_dir, "documents"))
 
@@ -55,6 +60,7 @@ QUERIES = {
     "op4_secret_scan": op4_secret_scan,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_fingerprints": op6_fingerprints,
+    "op7_nearest_vectors": op7_nearest_vectors,
     "op8_source_mix": op8_source_mix,
     "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
