@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, language, mixing, quality, secrets, simhash, vptree
+from . import bpe, chaining, fingerprints, language, mixing, quality, secrets, simhash, vptree
 from .common import table
 
 
@@ -14,6 +14,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op3_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.passages(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_shared_passages": op3_shared_passages,
     "op4_secret_scan": op4_secret_scan,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_fingerprints": op6_fingerprints,
