@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chaining, fingerprints, language, mixing, quality, secrets, simhash, vptree
+from . import bpe, chaining, fingerprints, language, licenses, mixing, quality, secrets, simhash, vptree
 from .common import table
 
 
@@ -28,6 +28,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), tokenizer_path(), public_tokenizers.PATTERN)
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_licenses(spark))
+
+
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=2)
 
@@ -60,6 +64,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_shared_passages": op3_shared_passages,
     "op4_secret_scan": op4_secret_scan,
@@ -72,4 +77,4 @@ QUERIES = {
     "pipeline": pipeline,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_license_scan": licenses.oracle_sql()}
