@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..schema import ENVELOPE_FIELDS
 from .columns import as_col
-from .json_fields import is_object, text_or
+from .json_fields import int_or, is_object, text_or
 
 DECODED = (
     "event_id",
@@ -105,7 +105,7 @@ def decode_log(log: DataFrame, payload_fields: list[str] | None = None) -> DataF
         *kept,
         text_or("eventId").alias("event_id"),
         text_or("eventType").alias("event_type"),
-        F.coalesce("eventVersion", F.lit(0)).alias("event_version"),
+        int_or("eventVersion").alias("event_version"),
         F.try_to_timestamp(F.col("occurredAt")).alias("occurred_at"),
         "producer",
         F.col("correlationId").alias("correlation_id"),

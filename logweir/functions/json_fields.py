@@ -24,6 +24,16 @@ def int_or(value: Column | str, default: int = 0) -> Column:
     return F.coalesce(as_col(value).try_cast("double").try_cast("int"), F.lit(default))
 
 
+def long_or(value: Column | str, default: int = 0) -> Column:
+    """As ``int_or`` for identifiers, 64 bits wide and exact; numbers beyond that are NULL.
+
+    A number beyond 64 bits must not turn into the default, which is an id like any other.
+    """
+    text = as_col(value)
+    whole = text.try_cast("decimal(38,9)").try_cast("bigint")
+    return F.when(text.try_cast("double").isNull(), F.lit(default).cast("bigint")).otherwise(whole)
+
+
 def json_text(doc: Column | str, path: str, default: str = "") -> Column:
     return text_or(F.get_json_object(as_col(doc), f"$.{path}"), default)
 

@@ -12,17 +12,17 @@ from ..session import lookup_table
 
 
 def key_placement(log: DataFrame) -> DataFrame:
-    """Rows and partitions per key. Counting per (key, partition) first keeps hot keys small."""
+    """Rows and partitions per topic and key. Counting per partition first keeps hot keys small."""
     return (
-        log.groupBy("key", "partition")
+        log.groupBy("topic", "key", "partition")
         .agg(F.count("*").alias("_rows"))
-        .groupBy("key")
+        .groupBy("topic", "key")
         .agg(F.count("*").alias("partitions"), F.sum("_rows").alias("records"))
     )
 
 
 def order_check(log: DataFrame, sequence: str, block: int = 1 << 20) -> DataFrame:
-    """Per key: in how many partitions it is, and how often ``sequence`` falls along the offsets.
+    """Per topic and key: in how many partitions it is, and how often ``sequence`` falls along the offsets.
 
     Order exists inside a partition only. Neighbours are compared inside blocks of ``block``
     offsets, so a group has at most ``block`` rows even where one key fills a partition. The
@@ -30,25 +30,25 @@ def order_check(log: DataFrame, sequence: str, block: int = 1 << 20) -> DataFram
     per key and block.
     """
     blocked = log.select(
-        "key", "partition", "offset", sequence, F.floor(F.col("offset") / block).alias("_block")
+        "topic", "key", "partition", "offset", sequence, F.floor(F.col("offset") / block).alias("_block")
     )
-    within = Window.partitionBy("key", "partition", "_block").orderBy("offset")
+    within = Window.partitionBy("topic", "key", "partition", "_block").orderBy("offset")
     marked = blocked.withColumn(
         "_falls", (F.lag(sequence).over(within) > F.col(sequence)).cast("int")
     )
-    blocks = marked.groupBy("key", "partition", "_block").agg(
+    blocks = marked.groupBy("topic", "key", "partition", "_block").agg(
         F.count("*").alias("_rows"),
         F.coalesce(F.sum("_falls"), F.lit(0)).alias("_inside"),
         F.min_by(sequence, "offset").alias("_first"),
         F.max_by(sequence, "offset").alias("_last"),
     )
-    across = Window.partitionBy("key", "partition").orderBy("_block")
+    across = Window.partitionBy("topic", "key", "partition").orderBy("_block")
     seams = blocks.withColumn("_seam", (F.lag("_last").over(across) > F.col("_first")).cast("int"))
-    per_place = seams.groupBy("key", "partition").agg(
+    per_place = seams.groupBy("topic", "key", "partition").agg(
         F.sum("_rows").alias("_rows"),
         (F.sum("_inside") + F.coalesce(F.sum("_seam"), F.lit(0))).alias("_falls"),
     )
-    return per_place.groupBy("key").agg(
+    return per_place.groupBy("topic", "key").agg(
         F.count("*").alias("partitions"),
         F.sum("_rows").alias("records"),
         F.sum("_falls").alias("inversions"),

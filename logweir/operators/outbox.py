@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.envelope import build_envelope, stable_id
 from ..sources.log_store import append_log, read_log
@@ -41,8 +42,10 @@ def write_outbox(changes: DataFrame, root: str, batch: str, event_type: str = "O
 
 def read_committed(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Rows of committed batches. The commit list prunes batch folders at run time."""
-    rows = spark.read.option("basePath", f"{root}/{table}").parquet(f"{root}/{table}")
-    rows = rows.withColumn("batch", F.col("batch").cast("string"))
+    found = spark.read.option("basePath", f"{root}/{table}").parquet(f"{root}/{table}").schema
+    # Folder names are names: read as numbers, 001 would come back as 1 and match no commit.
+    schema = T.StructType([f for f in found if f.name != "batch"] + [T.StructField("batch", T.StringType())])
+    rows = spark.read.schema(schema).option("basePath", f"{root}/{table}").parquet(f"{root}/{table}")
     done = committed(spark, root).withColumnRenamed("entry", "batch")
     return rows.join(done, "batch", "left_semi").drop("batch")
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import error_headers, error_text
-from ..functions.json_fields import json_text
+from ..functions.json_fields import is_object, json_text
 
 
 @dataclass(frozen=True)
@@ -31,6 +31,7 @@ TIERS = (
 # The attempt from which a case goes through, and the case that never does.
 SUCCEEDS_FROM = {"ok": 1, "temporary": 2, "temporary-long": 3}
 FATAL = "poison"
+QUARANTINED = "quarantined"
 
 
 def case_of(payload: Column | str = "payload") -> Column:
@@ -42,8 +43,13 @@ def succeeds(case: Column, attempt: int) -> Column:
 
 
 def _with_case(records: DataFrame, case: Column | None) -> tuple[Column, DataFrame]:
-    """The case as a column of its own, so that the text is searched once however often it is named."""
-    return F.col("_case"), records.withColumn("_case", case_of() if case is None else case)
+    """The case as a column of its own, so that the text is searched once however often it is named.
+
+    NULL stands for a payload that is no JSON object: no tier can process it and none would later,
+    so it is quarantined at the first.
+    """
+    read = F.when(is_object("payload"), case_of()) if case is None else case
+    return F.col("_case"), records.withColumn("_case", read)
 
 
 def retry_stage(
@@ -55,7 +61,9 @@ def retry_stage(
     target = F.when(kind == FATAL, F.lit(dead_letters)).otherwise(F.lit(tier.next_topic))
     return rows.withColumns(
         {
-            "outcome": F.when(good, F.lit("processed")).otherwise(F.lit("forwarded")),
+            "outcome": F.when(kind.isNull(), F.lit(QUARANTINED))
+            .when(good, F.lit("processed"))
+            .otherwise(F.lit("forwarded")),
             "target": F.when(~good, target),
             "headers": F.when(~good, error_headers(error_text(kind, tier.attempt))),
         }
@@ -76,6 +84,7 @@ def _final(case: Column, tiers: Sequence[Tier], dead_letters: str) -> Column:
         )
 
     chain = None
+    unread = F.when(case.isNull(), result(QUARANTINED, tiers[0].attempt, None))
     for i in reversed(range(len(tiers))):
         tier, previous = tiers[i], tiers[i - 1].attempt if i else None
         dead = result("dlt", tier.attempt, tier.attempt)
@@ -86,7 +95,7 @@ def _final(case: Column, tiers: Sequence[Tier], dead_letters: str) -> Column:
         if chain is None:
             raise ValueError("the last tier must send its failures to the dead letters")
         chain = step.when(case == FATAL, dead).otherwise(chain)
-    return chain
+    return unread.otherwise(chain)
 
 
 def retry_chain(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.envelope import stable_id
@@ -30,48 +30,63 @@ ORDER_SAGA = (
 ORDER_STEPS = ("OrderCreated", "PaymentReserved", "StockReserved", "OrderConfirmed")
 
 
-def _reachable(rules: Sequence[Rule]) -> list[tuple[str, str, int, str, str]]:
-    """Every reply a trigger leads to, directly or through other replies, with its hop.
+def _reachable(rules: Sequence[Rule]) -> list[tuple[str, str, str, str, list[str]]]:
+    """Every reply a trigger leads to, directly or through other replies, with the reply types on the way.
 
     A path stops where it would answer the same event twice, so circular rules end.
     """
     found = []
     for start in {(r.topic, r.trigger) for r in rules}:
-        open_ends, seen, hop = [start], {start}, 0
+        open_ends, seen = [(start, [])], {start}
         while open_ends:
-            hop += 1
-            replies = [
-                (r.reply_topic, r.reply) for r in rules if (r.topic, r.trigger) in open_ends
-            ]
-            open_ends = [end for end in dict.fromkeys(replies) if end not in seen]
-            seen.update(open_ends)
-            found += [(*start, hop, *end) for end in open_ends]
+            further = []
+            for at, path in open_ends:
+                for r in rules:
+                    end = (r.reply_topic, r.reply)
+                    if (r.topic, r.trigger) == at and end not in seen:
+                        seen.add(end)
+                        further.append((end, [*path, r.reply]))
+            open_ends = further
+            found += [(*start, *end, path) for end, path in open_ends]
     return sorted(found)
 
 
+def _id_after(path: Column) -> Column:
+    """Id of the event at the end of a path: each reply's id is derived from the one it answers."""
+    return F.aggregate(path, F.col("event_id"), lambda done, reply: stable_id(done, reply))
+
+
 def saga_replies(
     events: DataFrame, rules: Sequence[Rule] = ORDER_SAGA, payload: Column | None = None
 ) -> DataFrame:
-    """All events the rules emit for a log, hop by hop, keyed like their trigger.
+    """The events the rules still have to emit for a log, hop by hop, keyed like their trigger.
 
     The rules are followed to the end on the driver, where they are a handful, so the log is
-    read once and joined once however many hops a saga has. The payload is carried along.
+    joined with them once however many hops a saga has. The payload is carried along. A reply's id
+    comes from the id of the event it answers (``caused_by``), so it is the same whether that event
+    is in the log already or emitted with it. Replies whose id the log has are left out, and one that
+    several events of a saga lead to counts from the nearest (``hop``): a log together with all its
+    replies gives none.
     """
     table = lookup_table(
         events.sparkSession,
         _reachable(rules),
-        "topic string, event_type string, hop int, reply_topic string, reply_type string",
+        "topic string, event_type string, reply_topic string, reply_type string, path array<string>",
     )
-    return events.join(table, ["topic", "event_type"]).select(
+    replies = events.join(table, ["topic", "event_type"]).select(
         F.col("reply_topic").alias("topic"),
         F.col("aggregate_id").alias("key"),
         "aggregate_id",
         F.col("reply_type").alias("event_type"),
-        "hop",
-        F.col("event_id").alias("caused_by"),
-        stable_id("event_id", "reply_type").alias("event_id"),
+        F.size("path").alias("hop"),
+        _id_after(F.slice("path", 1, F.size("path") - 1)).alias("caused_by"),
+        _id_after(F.col("path")).alias("event_id"),
         (F.col("payload") if payload is None else payload).alias("payload"),
     )
+    nearest = Window.partitionBy("event_id").orderBy("hop")
+    first = replies.withColumn("_place", F.row_number().over(nearest)).where("_place = 1").drop("_place")
+    emitted = events.where(F.col("event_type").isin(*sorted({r.reply for r in rules}))).select("event_id")
+    return first.join(emitted, "event_id", "left_anti").select(*replies.columns)
 
 
 def saga_progress(

@@ -35,6 +35,8 @@ from .tables import (
     renumbered_log,
     sagas,
     table,
+    source_types,
+    with_other_types,
     with_payload,
     with_value,
 )
@@ -45,7 +47,9 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 SEQ = ("seq",)
-ORDER_TYPES = ("OrderCreated", "OrderPaid", "OrderConfirmed", "OrderPlaced")
+TARGETS = {"OrderPaid": "payments.events", "CustomerBlocked": "orders.notifications"}
+#: What a projection reads: every order event, whether its type is mapped or stands for itself.
+ORDERS = "Order"
 
 
 def query(oracle: str | None = None) -> Callable[[Query], Query]:
@@ -62,7 +66,7 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def _projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = order_log(spark, sf_dir, ORDER_TYPES)
+    log = order_log(spark, sf_dir, prefix=ORDERS)
     return projection.project_orders(log, SEQ, F.col("amount"))
 
 
@@ -72,6 +76,13 @@ def order_projection(spark, sf_dir):
     return _projection(spark, sf_dir)
 
 
+@query(sql.PROJECTION_OTHER_TYPES)
+def order_projection_other_types(spark, sf_dir):
+    """The projection over a log that also holds order types nobody mapped, and foreign types."""
+    rows = with_other_types(table(spark, sf_dir, "events"))
+    return projection.project_orders(as_log(rows.where(source_types((), ORDERS))), SEQ, F.col("amount"))
+
+
 @query(sql.PROJECTION)
 def envelope_projection(spark, sf_dir):
     """The same from the JSON text of the records, parsed once per record."""
@@ -83,7 +94,7 @@ def envelope_projection(spark, sf_dir):
 @query(sql.PROJECTION)
 def projection_upsert(spark, sf_dir):
     """A projection of the first half of the month merged with that of the second."""
-    rows = event_rows(spark, sf_dir, ORDER_TYPES)
+    rows = event_rows(spark, sf_dir, prefix=ORDERS)
     cut = F.lit("2024-01-16").cast("timestamp_ntz")
     old, new = (
         projection.project_orders(as_log(rows.where(side)), SEQ, F.col("amount"))
@@ -108,7 +119,7 @@ def replay_rebuild(spark, sf_dir):
     root = run_dir(spark, "replay")
     for version in (1, 2):
         projection.rebuild(
-            order_log(spark, sf_dir, ORDER_TYPES), root, version, SEQ, F.col("amount")
+            order_log(spark, sf_dir, prefix=ORDERS), root, version, SEQ, F.col("amount")
         )
     newest = tables.read_version(spark, root)
     differs = projection.diff(tables.read_version(spark, root, 1), newest, "order_id")
@@ -290,6 +301,16 @@ def saga_next(spark, sf_dir):
     )
 
 
+@query(sql.SAGA_RESUMED)
+def saga_resumed(spark, sf_dir):
+    """What is still to be emitted once the log holds the first reply of every saga."""
+    log = with_payload(order_log(spark, sf_dir)).select("topic", "event_type", "aggregate_id", "event_id", "payload")
+    first = saga.saga_replies(log).where("hop = 1").select(*log.columns)
+    return saga.saga_replies(log.unionByName(first)).select(
+        "topic", "event_type", "hop", "caused_by", "event_id", json_int("payload", "amount").alias("amount")
+    )
+
+
 @query(sql.SAGA_PROGRESS)
 def saga_progress(spark, sf_dir):
     """Steps seen, next step and stuck flag per saga of a user and day."""
@@ -325,16 +346,23 @@ def murmur2_partition(spark, sf_dir):
     )
 
 
+def _by_topic(log: DataFrame) -> DataFrame:
+    """The log divided into two topics, whose offsets have nothing to do with each other."""
+    return routing.route(log, TARGETS).withColumn("topic", F.col("target")).drop("target")
+
+
 @query(sql.KEY_PLACEMENT)
 def key_placement(spark, sf_dir):
-    return delivery.key_placement(placed_log(spark, sf_dir))
+    return delivery.key_placement(_by_topic(placed_log(spark, sf_dir)))
 
 
 @query(sql.KEYED_PUBLISH)
 def keyed_publish(spark, sf_dir):
     """Placed orders keyed by one of three users, written to the log and read back."""
-    numbers = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    records = publishing.placed_orders(numbers, "o_orderkey")
+    # Every fourth number is beyond 32 bits.
+    wide = F.when(F.col("o_orderkey") % 4 == 0, F.col("o_orderkey") + F.lit(1 << 33)).otherwise(F.col("o_orderkey"))
+    numbers = table(spark, sf_dir, "orders").select(wide.alias("number"), "o_orderdate")
+    records = publishing.placed_orders(numbers, "number")
     value = publishing.placed_value(F.col("o_orderdate"))
     root = run_dir(spark, "keyed")
     log_store.append_log(records, root, "b1", order=["order_id"], value=value)
@@ -402,8 +430,8 @@ def take_one(spark, sf_dir):
 
 @query(sql.ORDER_CHECK)
 def order_check(spark, sf_dir):
-    """Per key: partitions, and how often the amount falls from one record to the next."""
-    return delivery.order_check(offset_log(spark, sf_dir), "amount")
+    """Per topic and key: partitions, and how often the amount falls from one record to the next."""
+    return delivery.order_check(_by_topic(offset_log(spark, sf_dir)), "amount")
 
 
 @query(sql.FULL_AND_RESUMED)
@@ -481,8 +509,7 @@ def topic_summary(spark, sf_dir):
 @query(sql.TYPE_ROUTE)
 def type_route(spark, sf_dir):
     """Every record with the topic its type belongs to."""
-    targets = {"OrderPaid": "payments.events", "CustomerBlocked": "orders.notifications"}
-    return routing.route(order_log(spark, sf_dir), targets).select("event_id", "event_type", "target")
+    return routing.route(order_log(spark, sf_dir), TARGETS).select("event_id", "event_type", "target")
 
 
 # ---------------------------------------------------------------- facts and state
@@ -549,7 +576,7 @@ def envelope_roundtrip(spark, sf_dir):
     return read.select(
         F.col("e.eventId").alias("event_id"),
         F.col("e.eventType").alias("event_type"),
-        F.col("e.eventVersion").alias("event_version"),
+        int_or("e.eventVersion").alias("event_version"),
         F.col("e.occurredAt").alias("occurred_at"),
         F.unix_micros(F.try_to_timestamp(F.col("e.occurredAt"))).alias("occurred_micros"),
         F.col("e.aggregateId").alias("aggregate_id"),

@@ -51,6 +51,12 @@ projection as (
     arg_max(event_id, seq) as last_event_id
   from log where starts_with(event_type, 'Order') group by key)"""
 
+PROJECTION_OTHER_TYPES = f"""with other as (
+  select * replace (case when event_type = 'view' and event_id % 7 = 0 then 'OrderPacked'
+    when event_type = 'view' and event_id % 11 = 0 then 'StockCounted' else event_type end as event_type)
+  from events),
+{FOLD.replace("from events)", "from other)")}
+select * from projection"""
 PROJECTION = f"with {FOLD} select * from projection"
 PREFIX_DELETE = f"with {FOLD} select * from projection where not order_id like 'u-1%'"
 POINT_LOOKUP = f"with {FOLD} select * from projection where order_id = 'u-42'"
@@ -121,14 +127,21 @@ from ends"""
 DLT_REPORT = f"""with {ENDS} select x_error, attempt, count(*) as records from ends
 where outcome = 'dlt' group by all"""
 
-SAGA_NEXT = f"""with {LOG},
-replies(cause, hop, topic, event_type) as (values
-  ('OrderCreated', 1, 'payments.events', 'PaymentReserved'),
-  ('OrderCreated', 2, 'warehouse.events', 'StockReserved'),
-  ('OrderCreated', 3, 'orders.events', 'OrderConfirmed'))
-select topic, key, replies.event_type, hop, event_id as caused_by,
-  sha256(event_id || '#' || replies.event_type) as event_id, amount
-from log join replies on log.event_type = replies.cause"""
+# Each reply's id is derived from the id of the event before it.
+SAGA = f"""recursive {LOG},
+rules(cause, topic, event_type) as (values
+  ('OrderCreated', 'payments.events', 'PaymentReserved'),
+  ('PaymentReserved', 'warehouse.events', 'StockReserved'),
+  ('StockReserved', 'orders.events', 'OrderConfirmed')),
+saga as (
+  select 'orders.events' as topic, key, event_type, 0 as hop, cast(null as varchar) as caused_by, event_id, amount
+  from log where event_type = 'OrderCreated'
+  union all
+  select rules.topic, key, rules.event_type, hop + 1, event_id, sha256(event_id || '#' || rules.event_type), amount
+  from saga join rules on saga.event_type = rules.cause)"""
+SAGA_NEXT = f"with {SAGA} select topic, key, event_type, hop, caused_by, event_id, amount from saga where hop > 0"
+SAGA_RESUMED = f"""with {SAGA}
+select topic, event_type, hop - 1 as hop, caused_by, event_id, amount from saga where hop > 1"""
 SAGA_PROGRESS = f"""with {LOG},
 steps as (
   select key || '/' || strftime(ts, '%Y-%m-%d') as aggregate_id, event_type, ts,
@@ -167,15 +180,20 @@ from checked group by event_version"""
 
 MURMUR2 = f"""with {PLACED}
 select event_id, key, hash, partition from placed join hashed using (key)"""
+TARGET = """case event_type when 'OrderPaid' then 'payments.events'
+    when 'CustomerBlocked' then 'orders.notifications' else 'orders.events' end"""
 KEY_PLACEMENT = f"""with {PLACED}
-select key, count(distinct partition) as partitions, count(*) as records from placed group by key"""
+select {TARGET} as topic, key, count(distinct partition) as partitions, count(*) as records
+from placed group by all"""
 USER = "case o_orderkey % 3 when 0 then 30 when 1 then 10 else 20 end"
 PRODUCT = """(['Keyboard', 'Mouse', 'Monitor', 'Laptop', 'Headphones', 'Tablet', 'Printer', 'Scanner',
     'Speaker', 'Camera', 'Drone', 'Smartwatch'])[(o_orderkey + 11) % 12 + 1]"""
-KEYED_PUBLISH = f"""with numbered as (
-  select cast(o_orderkey as integer) as order_id, {USER} as user_id, cast({USER} as varchar) as key,
+KEYED_PUBLISH = f"""with wide as (
+  select case when o_orderkey % 4 = 0 then o_orderkey + 8589934592 else o_orderkey end as o_orderkey from orders),
+numbered as (
+  select o_orderkey as order_id, cast({USER} as bigint) as user_id, cast({USER} as varchar) as key,
     {PRODUCT} as product
-  from orders),
+  from wide),
 {hashed("numbered")},
 located as (
   select numbered.*, cast((hash & 2147483647) % 3 as integer) as partition from numbered join hashed using (key))
@@ -203,12 +221,14 @@ cut as (select seq from offs order by partition, "offset" limit 500)
 select count(*) as read, cast(500 as bigint) as expected, count(*) >= 500 as complete from cut"""
 TAKE_ONE = f"with {LOG} select seq, key, event_type from log order by seq limit 1"
 ORDER_CHECK = f"""with {PLACED},
+topics as (select *, {TARGET} as topic from offs),
 steps as (
-  select key, partition, lag(amount) over (partition by key, partition order by "offset") > amount as falls
-  from offs)
-select key, count(distinct partition) as partitions, count(*) as records,
+  select topic, key, partition,
+    lag(amount) over (partition by topic, key, partition order by "offset") > amount as falls
+  from topics)
+select topic, key, count(distinct partition) as partitions, count(*) as records,
   count(*) filter (where falls) as inversions
-from steps group by key"""
+from steps group by topic, key"""
 FULL_AND_RESUMED = f"""with {LOG}
 select case when ts < timestamp '2024-01-16' then 1 else 2 end as run, event_type,
   count(*) as records, count(*) as distinct_events

@@ -21,11 +21,11 @@ LOG_SCHEMA = T.StructType(
     ]
 )
 
-# Envelope fields in wire order; every one may be absent on read. The payload stays JSON text.
+# Envelope fields in wire order; every one may be absent on read. The payload stays JSON text.
 ENVELOPE_FIELDS = [
     ("eventId", "string"),
     ("eventType", "string"),
-    ("eventVersion", "int"),
+    ("eventVersion", "string"),
     ("occurredAt", "string"),
     ("producer", "string"),
     ("correlationId", "string"),
@@ -36,6 +36,7 @@ ENVELOPE_FIELDS = [
 # Position of a record in the total order used across partitions.
 LOG_ORDER = ("timestamp", "partition", "offset")
 
+# The tables and their columns.
 TABLES = {
     "orders": "id string, status string, amount int, updated_at timestamp",
     "outbox": "id string, aggregate_id string, event_type string, payload string, "
@@ -46,18 +47,5 @@ TABLES = {
     "updated_at timestamp",
 }
 
-# The topics of the order domain, each with three partitions.
-TOPICS = (
-    "orders.events",
-    "orders.notifications",
-    "orders.state",
-    "orders.retry.1",
-    "orders.retry.2",
-    "orders.dlt",
-    "all.events",
-    "payments.events",
-    "warehouse.events",
-    "readmodel.orders",
-    "audit.events",
-)
+# Fixed value: partitions of every topic.
 PARTITIONS = 3

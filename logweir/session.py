@@ -6,9 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-
-# Rows a driver-built lookup table may hold and still be hinted for broadcast.
-BROADCAST_ROWS = 10_000
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -35,7 +34,11 @@ def build_session(master: str | None = None, app: str = "logweir", **extra: str)
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a local folder is set only where it is unset."""
+    """The cluster's ``spark.checkpoint.dir``; where that is unset, what ``setCheckpointDir`` was given.
+
+    A local folder is made only where both are unset and the master is local: the executors of a
+    cluster could not see each other's.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if configured:
@@ -43,6 +46,8 @@ def shared_root(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
     if current is None:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="logweir-"))
         current = spark.sparkContext.getCheckpointDir()
     return current
@@ -71,9 +76,9 @@ def drop_folder(spark: SparkSession, path: str) -> None:
 
 
 def lookup_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """Driver-built rules as a DataFrame, hinted for broadcast only while they are few.
-
-    Longer tables carry no hint, so Catalyst picks the join and adaptive execution splits skew.
-    """
-    table = spark.createDataFrame(rows, schema)
-    return table.hint("broadcast") if len(rows) <= BROADCAST_ROWS else table
+    """Driver-built rules as a DataFrame of literals, whose size Catalyst knows when it picks the join."""
+    kind = T.StructType.fromDDL(schema)
+    if not rows:
+        return spark.createDataFrame([], kind)
+    literals = F.array(*(F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, kind))) for row in rows))
+    return spark.range(1).select(F.inline(literals))

@@ -7,6 +7,8 @@ A batch is replaced as a whole when it is written again, so a repeated write add
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -98,21 +100,22 @@ def end_offsets(log: DataFrame) -> DataFrame:
 def tail_read(log: DataFrame, n: int = 12, partitions: Iterable[int] | None = None) -> DataFrame:
     """Records with ``offset >= max(0, end - n)`` in every partition of the log.
 
-    The ends come from a scan of the position columns alone and are one row per partition, so
-    they are broadcast. Their lowest bound is a scalar subquery on the offset, which reaches the
-    parquet scan once it is known and lets it skip the row groups before the tail.
+    The ends come from one scan of the position columns, and are one row per partition of the log: few
+    enough to be read here and become the filter, a lower bound for each topic and partition. So a short
+    topic does not keep the scan from skipping the row groups before a long one's tail.
     """
     chosen = log if partitions is None else log.where(F.col("partition").isin(*partitions))
-    bounds = end_offsets(chosen).select(
-        "topic", "partition", F.greatest(F.lit(0), F.col("end_offset") - n).alias("_from")
-    )
-    lowest = bounds.agg(F.min("_from")).scalar()
-    return (
-        chosen.where(F.col("offset") >= lowest)
-        .join(F.broadcast(bounds), ["topic", "partition"])
-        .where(F.col("offset") >= F.col("_from"))
-        .drop("_from")
-    )
+    tails, lowest = F.lit(False), {}
+    for end in end_offsets(chosen).collect():
+        first = max(0, end["end_offset"] - n)
+        lowest[end["topic"]] = min(first, lowest.get(end["topic"], first))
+        place = F.col("topic").eqNullSafe(F.lit(end["topic"])) & F.col("partition").eqNullSafe(F.lit(end["partition"]))
+        tails = tails | (place & (F.col("offset") >= F.lit(first)))
+    # Said again per topic, which the scan understands even where the partition is derived from the key.
+    coarse = F.lit(False)
+    for topic, first in lowest.items():
+        coarse = coarse | (F.col("topic").eqNullSafe(F.lit(topic)) & (F.col("offset") >= F.lit(first)))
+    return chosen.where(coarse).where(tails)
 
 
 def last_n(log: DataFrame, n: int, order: str = "offset") -> DataFrame:
@@ -125,8 +128,33 @@ def last_n(log: DataFrame, n: int, order: str = "offset") -> DataFrame:
 
 
 def bounded_read(log: DataFrame, expected: int) -> DataFrame:
-    """At most ``expected`` records in (topic, partition, offset) order: a top-k, never a full sort."""
-    return log.orderBy("topic", "partition", "offset").limit(expected)
+    """At most ``expected`` records, the first in (topic, partition, offset) order, without sorting the log.
+
+    Counts per partition tell which partitions are wanted whole and in which one the read ends; only
+    that one is cut, by the rank of its offsets.
+    """
+    counts = log.groupBy("topic", "partition").agg(F.count("*").alias("n")).orderBy("topic", "partition")
+    wanted, left = F.lit(False), expected
+    for part in counts.collect():  # one row per partition of the log
+        place = F.col("topic").eqNullSafe(F.lit(part["topic"])) & F.col("partition").eqNullSafe(F.lit(part["partition"]))
+        if part["n"] <= left:
+            wanted, left = wanted | place, left - part["n"]
+            continue
+        if left > 0:
+            last = _offset_of_rank(log.where(place), left)
+            wanted = wanted | (place & (F.col("offset") <= F.lit(last)))
+        break
+    return log.where(wanted)
+
+
+def _offset_of_rank(part: DataFrame, rank: int, block: int = 1 << 16) -> int:
+    """The offset of the record with this rank in one partition of the log: counts per block of offsets
+    lead to a block, whose records are few."""
+    blocks = part.groupBy(F.floor(F.col("offset") / block).alias("b")).agg(F.count("*").alias("n"))
+    running = F.sum("n").over(Window.orderBy("b"))
+    hit = blocks.withColumn("upto", running).where(F.col("upto") >= rank).orderBy("b").first()
+    inside = part.where(F.floor(F.col("offset") / block) == hit["b"]).select("offset").orderBy("offset")
+    return inside.limit(rank - (hit["upto"] - hit["n"])).agg(F.max("offset")).first()[0]
 
 
 def read_status(rows: DataFrame, expected: int) -> DataFrame:
@@ -170,10 +198,13 @@ def dense_offsets(
         *keys, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
     )
     within = Window.partitionBy(*keys).orderBy(sequence)
+    # NULL equals NULL here: a record without a partition is numbered too.
+    there = starts.toDF(*(f"_at_{c}" for c in keys), "_start")
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in keys))
     return (
-        blocked.join(starts, keys)
+        blocked.join(there, same)
         .withColumn("offset", F.col("_start") + F.row_number().over(within) - 1)
-        .drop("_block", "_start")
+        .select(*log.columns, "offset")
     )
 
 

@@ -11,10 +11,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.envelope import parse_checked, readable
-from ..functions.json_fields import int_or, text_or
+from ..functions.json_fields import long_or, text_or
 from ..operators.inbox import first_payments, fresh_events
 from ..operators.projection import fold_orders, order_facts
-from ..operators.retry import DEAD_LETTERS, Tier, retry_stage
+from ..operators.retry import DEAD_LETTERS, QUARANTINED, Tier, retry_stage
 from ..schema import LOG_ORDER
 from ..session import path_exists
 from ..sources.log_store import append_log, reject_reason
@@ -167,22 +167,32 @@ def write_tier(
     dead_letters: str = DEAD_LETTERS,
     case: Column | None = None,
 ) -> DataStreamWriter:
-    """One tier as a query of its own: successes to ``done_root``, failures back into the log.
+    """One tier as a query of its own: successes to ``done_root``, failures back into the log, and
+    records that cannot be read to ``<done_root>_quarantine``.
 
-    ``records`` is the stream of the tier's topic. The log batch is named after tier and
+    ``records`` is the stream of the tier's topic, its ``value`` an envelope; a ``payload`` column is
+    used where there is one. The log batch is named after tier and
     micro-batch, so a batch run again replaces what it had forwarded.
     """
 
     def forward(batch: DataFrame, batch_id: int) -> None:
+        if "payload" not in batch.columns:
+            batch = batch.withColumn("payload", F.get_json_object("value", "$.payload"))
         # Read for the successes, for the ranges of the failures and for writing them.
         staged = retry_stage(batch, tier, dead_letters, case).persist(StorageLevel.DISK_ONLY)
         done = staged.where(F.col("outcome") == "processed").withColumn("attempt", F.lit(tier.attempt))
-        done.select("key", "value", "attempt").write.mode("overwrite").parquet(
-            f"{done_root}/attempt_no={tier.attempt}/batch_id={batch_id}"
-        )
-        failed = staged.where(F.col("outcome") == "forwarded").withColumn("topic", F.col("target"))
-        append_log(failed, log_root, f"{tier.topic}-{batch_id}", order=order)
-        staged.unpersist()
+        try:
+            done.select("key", "value", "attempt").write.mode("overwrite").parquet(
+                f"{done_root}/attempt_no={tier.attempt}/batch_id={batch_id}"
+            )
+            bad = staged.where(F.col("outcome") == QUARANTINED)
+            bad.select("key", "value", F.lit(tier.topic).alias("topic")).write.mode("overwrite").parquet(
+                f"{done_root}_quarantine/attempt_no={tier.attempt}/batch_id={batch_id}"
+            )
+            failed = staged.where(F.col("outcome") == "forwarded").withColumn("topic", F.col("target"))
+            append_log(failed, log_root, f"{tier.topic}-{batch_id}", order=order)
+        finally:
+            staged.unpersist()
 
     return records.writeStream.option("checkpointLocation", checkpoint).foreachBatch(forward)
 
@@ -193,14 +203,16 @@ def write_tier(
 def consume(log: DataFrame) -> DataFrame:
     """Placed orders out of raw records, with defaults; malformed records keep their reason."""
     parsed = log.withColumn("_e", parse_checked("value", ["orderId", "userId", "product"]))
-    reason = F.when(~readable("_e", "value"), reject_reason("value"))
+    ids = [long_or("_e.payload.orderId"), long_or("_e.payload.userId")]
+    too_large = ids[0].isNull() | ids[1].isNull()
+    reason = F.when(~readable("_e", "value"), reject_reason("value")).when(too_large, F.lit("id beyond 64 bits"))
     return parsed.withColumn("reason", reason).select(
         "topic",
         "partition",
         "offset",
         "key",
-        int_or("_e.payload.orderId").alias("order_id"),
-        int_or("_e.payload.userId").alias("user_id"),
+        ids[0].alias("order_id"),
+        ids[1].alias("user_id"),
         text_or("_e.payload.product", "unknown").alias("product"),
         "reason",
         F.when(F.col("reason").isNotNull(), F.col("value")).alias("rejected_value"),

@@ -97,7 +97,8 @@ def test_bounded_read_reports_shortfall(spark):
     log = spark.createDataFrame([("t", 0, o) for o in range(5)], "topic string, partition int, offset long")
     assert rows(ls.read_status(ls.bounded_read(log, 3), 3)) == [(3, 3, True)]
     assert rows(ls.read_status(ls.bounded_read(log, 9), 9)) == [(5, 9, False)]
-    assert "TakeOrderedAndProject" in plan_of(ls.bounded_read(log, 3))
+    plan = plan_of(ls.bounded_read(log, 3))
+    assert "Sort" not in plan and "TakeOrdered" not in plan
 
 
 def test_take_one(spark):
@@ -227,3 +228,16 @@ def test_staging_folders_do_not_stay(spark, tmp_path):
     before = set(os.listdir(folder))
     ls.append_log(some(spark, range(5)), str(tmp_path / "log"), "b1", order=["seq"])
     assert not [f for f in set(os.listdir(folder)) - before if f.startswith("stage-")]
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from logweir.session import shared_root
+
+    unset = SimpleNamespace(get=lambda name, default=None: default)
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError):
+        shared_root(SimpleNamespace(conf=unset, sparkContext=context))

@@ -23,7 +23,7 @@ def test_init(spark, root):
 
 def test_basic_entities(spark, root):
     out = run(spark, root, "basic-entities")
-    assert rows(out["placement"]) == [("order-0", 1, 2), ("order-1", 1, 2), ("order-2", 1, 2)]
+    assert rows(out["placement"], "key", "partitions", "records") == [("order-0", 1, 2), ("order-1", 1, 2), ("order-2", 1, 2)]
     assert rows(out["status"]) == [(6, 6, True)]
     assert sum(r.records for r in out["report"].collect()) == 6
 
@@ -131,7 +131,7 @@ def test_audit_replay(spark, root):
 def test_producer_then_consumer(spark, tmp_path):
     root = str(tmp_path)
     out = run(spark, root, "producer")
-    assert rows(out["placement"]) == [("10", 1, 4), ("20", 1, 4), ("30", 1, 4)]
+    assert rows(out["placement"], "key", "partitions", "records") == [("10", 1, 4), ("20", 1, 4), ("30", 1, 4)]
     assert {(r.key, r.partition) for r in out["records"].collect()} == {("10", 1), ("20", 1), ("30", 0)}
     read = run(spark, root, "consumer")
     assert rows(read["status"]) == [(12, 12, True)]

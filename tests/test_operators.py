@@ -187,6 +187,15 @@ def test_tiers_one_by_one_equal_the_chain(spark):
     assert left.count() == 0 and ends == TRUTH
 
 
+def test_unreadable_records_are_quarantined(spark):
+    bad = spark.createDataFrame([("a", "{bad"), ("b", None), ("c", "[1]"), ("d", "{}")], "name string, payload string")
+    chain = {r.name: (r.outcome, r.attempt, r.x_error) for r in retry.retry_chain(bad).collect()}
+    assert chain == {n: ("quarantined", 1, None) for n in "abc"} | {"d": ("processed", 1, None)}
+    staged = {r.name: (r.outcome, r.target, r.headers) for r in retry.retry_stage(bad, retry.TIERS[0]).collect()}
+    assert staged == {n: ("quarantined", None, None) for n in "abc"} | {"d": ("processed", None, None)}
+    assert retry.retry_hops(bad).count() == 0
+
+
 def test_hops_are_the_records_the_tiers_write(spark):
     got = {(r.name, r.attempt, r.target) for r in retry.retry_hops(_cases(spark)).collect()}
     assert got == {
@@ -259,7 +268,8 @@ def test_contract_summary(spark):
 
 
 def _placed(spark, data):
-    return spark.createDataFrame(data, "key string, partition int, offset long, step int")
+    log = spark.createDataFrame(data, "key string, partition int, offset long, step int")
+    return log.withColumn("topic", F.lit("t"))
 
 
 @pytest.mark.parametrize("block", [1, 2, 3, 1 << 20])
@@ -267,12 +277,19 @@ def test_order_check_does_not_depend_on_the_block(spark, block):
     steps = [1, 3, 2, 2, 5, 4, 4, 1, 9]
     hot = [("hot", 0, 2 * i, s) for i, s in enumerate(steps)]
     got = delivery.order_check(_placed(spark, [*hot, ("cold", 1, 0, 7), ("two", 1, 5, 2), ("two", 2, 1, 1)]), "step", block)
-    assert rows(got) == [("cold", 1, 1, 0), ("hot", 1, 9, 3), ("two", 2, 2, 0)]
+    assert rows(got) == [("t", "cold", 1, 1, 0), ("t", "hot", 1, 9, 3), ("t", "two", 2, 2, 0)]
+
+
+def test_topics_are_kept_apart(spark):
+    log = _placed(spark, [("k", 0, 0, 5), ("k", 0, 2, 6), ("k", 0, 1, 1), ("k", 0, 3, 2)])
+    log = log.withColumn("topic", F.when(F.col("step") > 3, F.lit("a")).otherwise(F.lit("b")))
+    assert rows(delivery.order_check(log, "step")) == [("a", "k", 1, 2, 0), ("b", "k", 1, 2, 0)]
+    assert rows(delivery.key_placement(log)) == [("a", "k", 1, 2), ("b", "k", 1, 2)]
 
 
 def test_placement_flags_keys_in_several_partitions(spark):
     log = _placed(spark, [("a", 0, 0, 1), ("a", 0, 1, 1), ("b", 0, 2, 1), ("b", 1, 0, 1)])
-    assert rows(delivery.key_placement(log)) == [("a", 1, 2), ("b", 2, 2)]
+    assert rows(delivery.key_placement(log)) == [("t", "a", 1, 2), ("t", "b", 2, 2)]
 
 
 def test_assignment_is_consecutive_ranges(spark):
@@ -329,9 +346,10 @@ def test_placed_orders_are_keyed_by_user(spark):
     assert placed.where("n = 2").select(payload).first()[0] == '{"orderId":2,"userId":20,"product":"Mouse"}'
 
 
-def test_a_large_lookup_table_is_not_broadcast_by_hint(spark, monkeypatch):
+def test_lookup_tables_are_literals(spark):
     from logweir import session
 
-    monkeypatch.setattr(session, "BROADCAST_ROWS", 1)
-    table = session.lookup_table(spark, [("a", 1), ("b", 2)], "k string, v int")
-    assert "broadcast" not in table._jdf.queryExecution().logical().toString().lower()
+    table = session.lookup_table(spark, [("a", 1, ["x"]), (None, 2, [])], "k string, v int, p array<string>")
+    assert [tuple(r) for r in table.collect()] == [("a", 1, ["x"]), (None, 2, [])]
+    assert table.dtypes == [("k", "string"), ("v", "int"), ("p", "array<string>")]
+    assert session.lookup_table(spark, [], "k string").count() == 0
