@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.envelope import build_envelope, stable_id
+from ..session import path_exists
 from ..sources.log_store import append_log, read_log
 from ..sources.tables import commit, committed, mark
 
@@ -33,11 +34,17 @@ def stage_outbox(changes: DataFrame, event_type: str = "OrderPaid") -> tuple[Dat
 
 
 def write_outbox(changes: DataFrame, root: str, batch: str, event_type: str = "OrderPaid") -> None:
-    """Writes both tables under one batch; neither is visible until the batch is committed."""
+    """Writes both tables under one batch; neither is visible until the batch is committed.
+
+    A batch that is committed already is left alone, so that a job run again never shows readers one table
+    before and the other after."""
+    spark = changes.sparkSession
+    if path_exists(spark, f"{root}/_commits") and not committed(spark, root).where(F.col("entry") == batch).isEmpty():
+        return
     orders, outbox = stage_outbox(changes, event_type)
     orders.write.mode("overwrite").parquet(f"{root}/orders/batch={batch}")
     outbox.write.mode("overwrite").parquet(f"{root}/outbox/batch={batch}")
-    commit(changes.sparkSession, root, batch)
+    commit(spark, root, batch)
 
 
 def read_committed(spark: SparkSession, root: str, table: str) -> DataFrame:

@@ -22,6 +22,7 @@ from .tables import (
     as_log,
     customer_events,
     damaged_log,
+    event_parts,
     event_rows,
     event_stream,
     log_value,
@@ -105,11 +106,11 @@ def projection_upsert(spark, sf_dir):
 
 @query(sql.PROJECTION)
 def projection_stream(spark, sf_dir):
-    """The projection as a stream over a log that delivers every record twice."""
-    log = redelivered(as_log(event_stream(spark, sf_dir)))
-    folded = streams.projection_stream(log, SEQ, F.col("amount"))
+    """The projection as a stream over a log that grows in parts and delivers some records twice."""
     root = run_dir(spark, "projection")
-    streams.run_available(streams.write_changelog(folded, f"{root}/out", f"{root}/checkpoint"))
+    for events in event_parts(spark, sf_dir, f"{root}/in"):
+        folded = streams.projection_stream(as_log(events), SEQ, F.col("amount"))
+        streams.run_available(streams.write_changelog(folded, f"{root}/out", f"{root}/checkpoint"))
     return streams.read_changelog(spark, f"{root}/out", folded.schema, ["order_id"])
 
 
@@ -179,24 +180,34 @@ def filtered_count(spark, sf_dir):
 
 @query(sql.INBOX_STREAM)
 def inbox_stream(spark, sf_dir):
-    """Streamed de-duplication by event id over the redelivered log."""
-    log = redelivered(as_log(event_stream(spark, sf_dir)))
-    once = streams.inbox_stream(log, spread=["delivery", "seq"])
-    rows = once.select("event_id", "aggregate_id", "amount")
+    """Streamed de-duplication by event id over a log that grows and delivers some records again."""
+    return _inbox(spark, sf_dir, None)
+
+
+@query(sql.INBOX_STREAM)
+def inbox_watermark_stream(spark, sf_dir):
+    """The same with state that is forgotten after 60 days, longer than any redelivery here takes."""
+    return _inbox(spark, sf_dir, "60 days")
+
+
+def _inbox(spark: SparkSession, sf_dir: str, watermark: str | None) -> DataFrame:
     root = run_dir(spark, "inbox")
-    streams.run_available(streams.write_append(rows, f"{root}/out", f"{root}/checkpoint"))
+    for events in event_parts(spark, sf_dir, f"{root}/in"):
+        once = streams.inbox_stream(as_log(events), watermark=watermark, spread=["delivery", "seq"])
+        rows = once.select("event_id", "aggregate_id", "amount")
+        streams.run_available(streams.write_append(rows, f"{root}/out", f"{root}/checkpoint"))
     return spark.read.schema(rows.schema).parquet(f"{root}/out")
 
 
 @query(sql.PAYMENTS_STREAM)
 def payments_stream(spark, sf_dir):
     """Streamed inbox apply, first payment per order kept by log position."""
-    log = redelivered(as_log(event_stream(spark, sf_dir)))
     root = run_dir(spark, "payments")
-    writer = streams.write_inbox(
-        log, f"{root}/out", f"{root}/checkpoint", ["delivery", "seq"], amount=F.col("amount")
-    )
-    streams.run_available(writer)
+    for events in event_parts(spark, sf_dir, f"{root}/in"):
+        writer = streams.write_inbox(
+            as_log(events), f"{root}/out", f"{root}/checkpoint", ["delivery", "seq"], amount=F.col("amount")
+        )
+        streams.run_available(writer)
     schema = T.StructType.fromDDL("order_id string, amount int")
     return streams.read_batches(spark, f"{root}/out/payments", schema).drop("batch_id")
 
@@ -257,6 +268,24 @@ def outbox_after(spark, sf_dir):
     )
 
 
+@query(sql.TABLE_RESET)
+def table_reset(spark, sf_dir):
+    """The projection's table, filled and then reset: rows before and after."""
+    root = run_dir(spark, "reset")
+    projection.rebuild(order_log(spark, sf_dir, prefix=ORDERS), f"{root}/order_projection", 3, SEQ, F.col("amount"))
+    filled = tables.read_version(spark, f"{root}/order_projection")
+    tables.reset_tables(spark, root)
+    empty = tables.read_version(spark, f"{root}/order_projection")
+    counted = [df.agg(F.count("*").alias("rows")).select(F.lit(n).alias("state"), "rows") for n, df in (("filled", filled), ("reset", empty))]
+    return counted[0].union(counted[1])
+
+
+@query(sql.READER_COUNTS)
+def reader_counts(spark, sf_dir):
+    """Records each reader has taken, where readers divide the log's topics among themselves."""
+    return delivery.received_counts(_by_topic(order_log(spark, sf_dir)), "topic")
+
+
 # ---------------------------------------------------------------- retries
 
 
@@ -284,6 +313,39 @@ def retry_stage(spark, sf_dir):
     return staged.select("event_id", "outcome", "target", header_text("headers").alias("x_error"))
 
 
+@query(sql.RETRY_DAMAGED)
+def retry_damaged(spark, sf_dir):
+    """Outcomes over a log in which every thirteenth payload cannot be read."""
+    log = with_payload(order_log(spark, sf_dir))
+    damaged = log.withColumn("payload", F.when(F.col("seq") % 13 == 0, F.lit("{bad")).otherwise(F.col("payload")))
+    finals = retry.retry_chain(damaged)
+    return finals.groupBy("outcome", "attempt", "x_error").agg(F.count("*").alias("records"))
+
+
+@query(sql.RETRY_TIERS)
+def retry_tiers_stream(spark, sf_dir):
+    """The three tiers as streams over their topics, each to its end; what became of the records."""
+    root = run_dir(spark, "tiers")
+    log = with_value(order_log(spark, sf_dir))
+    value = F.when(F.col("seq") % 13 == 0, F.lit("{bad")).otherwise(F.col("value"))
+    log_store.append_log(log.withColumn("value", value), f"{root}/log", "b0", order=SEQ)
+    for tier in retry.TIERS:
+        source = log_store.stream_log(spark, f"{root}/log", [tier.topic])
+        streams.run_available(
+            streams.write_tier(source, tier, f"{root}/log", f"{root}/done", f"{root}/checkpoint{tier.attempt}")
+        )
+    done = spark.read.schema("attempt int").parquet(f"{root}/done").select(
+        F.lit("processed").alias("outcome"), "attempt", F.lit(None).cast("string").alias("x_error")
+    )
+    bad = spark.read.schema("topic string").parquet(f"{root}/done_quarantine").select(
+        F.lit(retry.QUARANTINED), F.lit(1), F.lit(None).cast("string")
+    )
+    dead = log_store.read_log(spark, f"{root}/log", [retry.DEAD_LETTERS]).select(
+        F.lit("dlt"), F.lit(None).cast("int"), header_text("headers")
+    )
+    return done.union(bad).union(dead).groupBy("outcome", "attempt", "x_error").agg(F.count("*").alias("records"))
+
+
 @query(sql.DLT_REPORT)
 def dlt_report(spark, sf_dir):
     return retry.dead_letter_report(retry.retry_chain(_cases(spark, sf_dir)))
@@ -543,10 +605,11 @@ def state_latest(spark, sf_dir):
 
 @query(sql.STATE_LATEST)
 def state_stream(spark, sf_dir):
-    """The same as a stream in update mode."""
-    newest = streams.state_stream(_states(event_stream(spark, sf_dir)), ["user_id"])
+    """The same as a stream in update mode over a log that grows in parts."""
     root = run_dir(spark, "state")
-    streams.run_available(streams.write_changelog(newest, f"{root}/out", f"{root}/checkpoint"))
+    for events in event_parts(spark, sf_dir, f"{root}/in"):
+        newest = streams.state_stream(_states(events), ["user_id"])
+        streams.run_available(streams.write_changelog(newest, f"{root}/out", f"{root}/checkpoint"))
     return streams.read_changelog(spark, f"{root}/out", newest.schema, ["user_id"])
 
 

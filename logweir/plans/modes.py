@@ -84,8 +84,7 @@ def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
 @mode("init")
 def init(spark, root):
     """Empty tables; the log starts with the first record."""
-    for name in tables.TABLES:
-        tables.write_version(tables.empty_table(spark, name), f"{root}/tables/{name}", 0)
+    tables.reset_tables(spark, f"{root}/tables")
     return {name: _table(spark, root, name) for name in tables.TABLES}
 
 

@@ -61,6 +61,10 @@ PROJECTION = f"with {FOLD} select * from projection"
 PREFIX_DELETE = f"with {FOLD} select * from projection where not order_id like 'u-1%'"
 POINT_LOOKUP = f"with {FOLD} select * from projection where order_id = 'u-42'"
 
+TABLE_RESET = f"""with {FOLD}
+select 'filled' as state, count(*) as rows from projection
+union all select 'reset', cast(0 as bigint)"""
+
 INBOX_DEDUP = f"""with {LOG} select distinct event_id from log
 where event_type = 'OrderPaid' and ts >= timestamp '2024-01-08'"""
 PAYMENTS = f"""{LOG},
@@ -124,6 +128,16 @@ select event_id, case when kase in ('ok', 'temporary') then 'processed' else 'fo
     else 'orders.retry.2' end as target,
   case when kase in ('ok', 'temporary') then null else 'case=' || kase || '; attempt=2' end as x_error
 from ends"""
+RETRY_DAMAGED = f"""with {ENDS.replace("select event_id, coalesce", "select seq, event_id, coalesce")}
+select case when seq % 13 = 0 then 'quarantined' else outcome end as outcome,
+  case when seq % 13 = 0 then 1 else attempt end as attempt,
+  case when seq % 13 = 0 then null else x_error end as x_error, count(*) as records
+from ends group by all"""
+RETRY_TIERS = f"""with {ENDS.replace("select event_id, coalesce", "select seq, event_id, coalesce")}
+select case when seq % 13 = 0 then 'quarantined' else outcome end as outcome,
+  case when seq % 13 = 0 then 1 when outcome = 'processed' then attempt end as attempt,
+  case when seq % 13 <> 0 and outcome = 'dlt' then x_error end as x_error, count(*) as records
+from ends group by all"""
 DLT_REPORT = f"""with {ENDS} select x_error, attempt, count(*) as records from ends
 where outcome = 'dlt' group by all"""
 
@@ -267,6 +281,8 @@ TYPE_ROUTE = f"""with {LOG} select event_id, event_type,
     else 'orders.events' end as target
 from log"""
 
+READER_COUNTS = f"""with {LOG} select {TARGET} as topic, count(*) as records from log group by all"""
+
 NOTIFICATION_ENRICH = f"""with {LOG}
 select event_id, user_id, c_name as name, c_mktsegment as segment
 from log left join customer on user_id = c_custkey where event_type = 'OrderPaid'"""

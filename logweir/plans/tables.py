@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +45,21 @@ def event_rows(
     return rows if types is None and prefix is None else rows.where(source_types(types or (), prefix))
 
 
+def event_parts(spark: SparkSession, sf_dir: str, root: str, parts: int = 3) -> Iterator[DataFrame]:
+    """``events`` as a stream that grows: yields it once per part written, then once more after the first
+    part has been delivered again. Each time a query with a kept checkpoint finds the new files only.
+
+    Parts follow the event numbers, so they are the log's order; ``delivery`` is 1 for what comes again.
+    """
+    rows = table(spark, sf_dir, "events")
+    low, high = rows.agg(F.min("event_id"), F.max("event_id")).first()
+    part = F.floor((F.col("event_id") - low) * parts / (high - low + 1))
+    schema = f"{EVENTS_SCHEMA}, delivery int, part int"
+    for delivery, wanted in [*((0, p) for p in range(parts)), (1, 0)]:
+        rows.where(part == wanted).write.parquet(f"{root}/delivery={delivery}/part={wanted}")
+        yield spark.readStream.schema(schema).parquet(root)
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a stream, whether the table is one file or a folder of files."""
     return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parque[t]")
@@ -67,7 +82,9 @@ def as_log(rows: DataFrame) -> DataFrame:
     ``seq`` is the unique, growing event number and so stands for the log's total order.
     """
     kind = switch(F.col("event_type"), TYPE_OF, F.col("event_type"))
+    position = ["delivery"] if "delivery" in rows.columns else []
     return rows.select(
+        *position,
         F.lit("orders.events").alias("topic"),
         F.col("event_id").alias("seq"),
         F.col("ts").cast("timestamp").alias("timestamp"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import position
 from ..schema import TABLES
+from ..session import path_exists
 
 
 def first_per_key(rows: DataFrame, keys: Iterable[str], order: Iterable[str]) -> DataFrame:
@@ -88,9 +89,11 @@ def empty_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def reset_tables(spark: SparkSession, root: str) -> None:
-    """Empties every table of the schema below ``root``."""
+    """Empties every versioned table of the schema below ``root``: a new, empty version above what is there."""
     for name in TABLES:
-        empty_table(spark, name).write.mode("overwrite").parquet(f"{root}/{name}")
+        at = f"{root}/{name}"
+        newest = committed(spark, at).agg(F.max("entry")).first()[0] if path_exists(spark, at) else None
+        write_version(empty_table(spark, name), at, 0 if newest is None else int(newest) + 1)
 
 
 # ---------------------------------------------------------------- databases

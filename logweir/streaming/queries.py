@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.envelope import parse_checked, readable
-from ..functions.json_fields import long_or, text_or
+from ..functions.json_fields import is_object, long_or, text_or
 from ..operators.inbox import first_payments, fresh_events
 from ..operators.projection import fold_orders, order_facts
 from ..operators.retry import DEAD_LETTERS, QUARANTINED, Tier, retry_stage
@@ -177,7 +177,9 @@ def write_tier(
 
     def forward(batch: DataFrame, batch_id: int) -> None:
         if "payload" not in batch.columns:
-            batch = batch.withColumn("payload", F.get_json_object("value", "$.payload"))
+            # An envelope without payload has no case; what is no envelope has no payload and cannot be read.
+            none = F.when(is_object("value"), F.lit("{}"))
+            batch = batch.withColumn("payload", F.coalesce(F.get_json_object("value", "$.payload"), none))
         # Read for the successes, for the ranges of the failures and for writing them.
         staged = retry_stage(batch, tier, dead_letters, case).persist(StorageLevel.DISK_ONLY)
         done = staged.where(F.col("outcome") == "processed").withColumn("attempt", F.lit(tier.attempt))

@@ -177,10 +177,18 @@ def test_mark_delete_lookup(spark):
 def test_reset_keeps_the_schema(spark, tmp_path):
     tables.reset_tables(spark, str(tmp_path))
     for name, ddl in tables.TABLES.items():
-        back = spark.read.parquet(f"{tmp_path}/{name}")
+        back = tables.read_version(spark, f"{tmp_path}/{name}")
         assert back.count() == 0 and back.columns == [c.split()[0] for c in ddl.split(", ")]
 
 
+def test_reset_empties_what_was_there(spark, tmp_path):
+    full = spark.createDataFrame([("e", None)], tables.TABLES["inbox"])
+    tables.write_version(full, f"{tmp_path}/inbox", 4)
+    tables.reset_tables(spark, str(tmp_path))
+    assert tables.read_version(spark, f"{tmp_path}/inbox").count() == 0
+    assert tables.read_version(spark, f"{tmp_path}/inbox", 4).count() == 1
+
+
 def test_a_version_is_seen_only_once_committed(spark, tmp_path):
     root = str(tmp_path / "t")
     tables.write_version(spark.range(3), root, 1)

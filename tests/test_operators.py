@@ -224,6 +224,25 @@ def test_saga_replies_follow_the_rules_to_the_end(spark):
     ]
 
 
+def test_a_log_with_its_replies_needs_no_more(spark):
+    log = decoded(spark, [(1, "c1", "OrderCreated", "s1", {"amount": 9}), (2, "c2", "OrderCreated", "s2", {"amount": 1})])
+    log = log.select("topic", "event_type", "aggregate_id", "event_id", "payload")
+    replies = saga.saga_replies(log)
+    assert saga.saga_replies(log.unionByName(replies.select(*log.columns))).count() == 0
+    some = replies.where("hop = 1 or (hop = 2 and key = 's1')").select(*log.columns)
+    left = saga.saga_replies(log.unionByName(some))
+    expected = replies.join(some.select("event_id"), "event_id", "left_anti")
+    assert rows(left, "key", "event_type", "event_id", "caused_by") == rows(expected, "key", "event_type", "event_id", "caused_by")
+
+
+def test_outbox_batches_keep_their_names_and_are_written_once(spark, tmp_path):
+    root = str(tmp_path)
+    outbox.write_outbox(_changes(spark, 5), root, "001")
+    assert outbox.read_committed(spark, root, "orders").count() == 5
+    outbox.write_outbox(_changes(spark, 3), root, "001")
+    assert outbox.read_committed(spark, root, "outbox").count() == 5
+
+
 def test_saga_checks_the_topic_of_the_trigger(spark):
     log = decoded(spark, [(1, "c1", "OrderCreated", "s1", {"amount": 9})], topic="payments.events")
     assert saga.saga_replies(log).count() == 0
