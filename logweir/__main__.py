@@ -13,7 +13,7 @@ def main(args: list[str]) -> int:
     spark = build_session()
     root = args[1] if len(args) > 1 else run_dir(spark, "demo")
     for name, df in MODES[args[0]](spark, root).items():
-        print(f"--- {name}")
+        print(f"--- {name} (100 rows at most)")
         df.show(100, truncate=False)
     return 0
 

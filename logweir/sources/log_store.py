@@ -1,7 +1,8 @@
 """A keyed, partitioned, offset-ordered log on files, and the options of the Kafka connector.
 
 Layout: ``<root>/topic=<name>/batch=<id>/*.parquet`` with the columns of ``LOG_SCHEMA``.
-A batch is replaced as a whole when it is written again, so a repeated write adds nothing.
+A batch is replaced as a whole when it is written again, topics it no longer has included, so a repeated
+write adds nothing. Its offsets are then counted behind those of the other batches.
 """
 
 from __future__ import annotations
@@ -264,7 +265,10 @@ def append_log(
     )
     before = Window.partitionBy(*place).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     bases = per_task.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    stale = set()
     if path_exists(spark, root):
+        mine = read_log(spark, root).where(F.col("batch") == batch)
+        stale = _topics(mine) - _topics(staged)
         earlier = end_offsets(read_log(spark, root).where(F.col("batch") != batch))
         bases = bases.join(earlier, place, "left")
     else:
@@ -285,10 +289,16 @@ def append_log(
         .partitionBy("topic", "batch")
         .parquet(root)
     )
+    for topic in stale:
+        drop_folder(spark, f"{root}/topic={topic}/batch={batch}")
     drop_folder(spark, staged_at)
     return delivery_report(read_log(spark, root).where(F.col("batch") == batch))
 
 
+def _topics(log: DataFrame) -> set[str]:
+    return {row["topic"] for row in log.select("topic").distinct().collect()}
+
+
 def delivery_report(log: DataFrame) -> DataFrame:
     """Where records of a log landed: count and first and last offset per partition."""
     return log.groupBy("topic", "partition").agg(

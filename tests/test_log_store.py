@@ -249,3 +249,13 @@ def test_a_cluster_without_a_shared_folder_is_refused():
     context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
     with pytest.raises(ValueError):
         shared_root(SimpleNamespace(conf=unset, sparkContext=context))
+
+
+def test_a_batch_written_again_loses_the_topics_it_no_longer_has(spark, tmp_path):
+    root = str(tmp_path / "log")
+    both = some(spark, range(6)).withColumn("topic", F.when(F.col("seq") < 3, F.lit("a")).otherwise(F.lit("b")))
+    ls.append_log(both, root, "b1", order=["seq"])
+    ls.append_log(both, root, "b2", order=["seq"])
+    ls.append_log(both.where("topic = 'a'"), root, "b1", order=["seq"])
+    left = ls.read_log(spark, root).groupBy("topic", "batch").count().collect()
+    assert sorted(map(tuple, left)) == [("a", "b1", 3), ("a", "b2", 3), ("b", "b2", 3)]
