@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bktree import shard_links
-from .common import WORD, batches_of, staged
+from .common import batches_of, staged
 from .graph import components
 
 SEED = 42
@@ -220,16 +220,14 @@ def hex_of(f0: str, f1: str, wide: bool) -> Column:
     return F.concat(digits(f1), digits(f0)) if wide else digits(f0)
 
 
-def shingle_set(text: Column, n: int) -> Column:
-    """Distinct hashes of the runs of ``n`` words, in built-in functions."""
-    lower = F.translate(F.coalesce(text, F.lit("")), ascii_uppercase, ascii_lowercase)
-    words = F.regexp_extract_all(lower, F.lit(f"({WORD})"), F.lit(1))
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
-    runs = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(hashed) - (n - 1), F.lit(1))),
-        lambda i: F.xxhash64(F.slice(hashed, i, n)),
-    )
-    return F.array_distinct(runs)
+def with_shingles(texts: DataFrame, n: int) -> DataFrame:
+    """``doc_id, shingles`` of ``texts (doc_id, text)``: distinct hashes of the runs of ``n`` words, in built-in
+    functions. Runs are made by zipping shifted copies of the words, each made once."""
+    lower = F.translate(F.coalesce("text", F.lit("")), ascii_uppercase, ascii_lowercase)
+    words = texts.select("doc_id", F.split(F.trim(F.regexp_replace(lower, r"[\x20\x09-\x0D]+", " ")), " ").alias("words"))
+    shifted = F.arrays_zip(*(F.slice("words", i + 1, F.greatest(F.size("words"), F.lit(1))).alias(f"w{i}") for i in range(n)))
+    runs = F.slice(shifted, 1, F.greatest(F.size("words") - (n - 1), F.lit(1)))
+    return words.select("doc_id", F.array_distinct(F.transform(runs, lambda run: F.xxhash64(run))).alias("shingles"))
 
 
 def alike_links(links: DataFrame, docs: DataFrame, words: int, alike: float) -> DataFrame:
@@ -241,7 +239,7 @@ def alike_links(links: DataFrame, docs: DataFrame, words: int, alike: float) ->
         .groupBy("doc_id")
         .agg(F.min("text").alias("text"))
     )
-    sets = staged(texts.select("doc_id", shingle_set(F.col("text"), words).alias("shingles")), "simhash-sets")
+    sets = staged(with_shingles(texts, words), "simhash-sets")
     one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
     shared = F.size(F.array_intersect("sa", "sb"))
