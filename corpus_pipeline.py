@@ -23,7 +23,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose five-word shingles are alike by 0.8 or more: the one with the
     smallest id. Of rows that share an id one stays; rows with a NULL id stay if no other has their text."""
-    groups = simhash.near_duplicates(docs, words=5, radius=26, alike=0.8)
+    groups = simhash.near_duplicates(docs, words=5, radius=36, alike=0.8)
     named = groups.where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     alone = docs.where("doc_id is null").dropDuplicates(["text"])

@@ -117,5 +117,5 @@ def test_checked_groups_catch_edits_and_leave_the_rest(spark, docs_of):
         group[10 * g + 7] = 10 * g + 7
     rows += [(1000 + i, None) for i in range(3)]
     group |= {1000 + i: 1000 for i in range(3)}
-    got = simhash.near_duplicates(docs_of(rows), words=5, radius=26, alike=0.8).collect()
+    got = simhash.near_duplicates(docs_of(rows), words=5, radius=36, alike=0.8).collect()
     assert {r.doc_id: r.component_id for r in got} == group
