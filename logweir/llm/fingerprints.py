@@ -30,9 +30,9 @@ KEY = ["k", "none"]
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``doc_id, k, none, text``; ``k, none`` stand for the id in joins, where NULL must equal NULL."""
+    """``k, none, text``; ``k, none`` stand for the id in joins, where NULL must equal NULL. All joins on the
+    id take exactly these columns, so that the texts are shuffled once and the exchange is used again."""
     return docs.select(
-        "doc_id",
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("k"),
         F.col("doc_id").isNull().alias("none"),
         text_or_empty().alias("text"),
@@ -64,10 +64,11 @@ def successors(rows: DataFrame) -> DataFrame:
 def with_edit(docs: DataFrame) -> DataFrame:
     """``keyed`` rows with ``edited, next_k``. The next document's text travels cut to what is needed."""
     rows = keyed(docs)
-    links = successors(rows)
-    asked = links.select(
+    asked = successors(rows).select(
         F.col("next_k").alias("k"), F.lit(False).alias("none"), F.col("k").alias("to_k"), F.col("none").alias("to_none"), "half"
     )
+    # A written table: the optimizer would otherwise see that ``none`` is false and filter one side's texts.
+    asked = staged(asked, "fingerprint-links")
     pieces = rows.join(asked, KEY).select(
         F.col("to_k").alias("k"),
         F.col("to_none").alias("none"),
@@ -82,7 +83,7 @@ def with_edit(docs: DataFrame) -> DataFrame:
         F.substring(F.col("text"), F.lit(1), n - half),
         F.substring(F.coalesce("piece", F.lit("")), F.lit(1), half),
     )
-    return rows.join(pieces, KEY, "left").select("doc_id", *KEY, "text", edited.alias("edited"), "next_k")
+    return rows.join(pieces, KEY, "left").select(*KEY, "text", edited.alias("edited"), "next_k")
 
 
 def votes(rows: DataFrame, carry: list[str], text: str, name: str) -> DataFrame:
@@ -156,7 +157,6 @@ def fingerprinted(docs: DataFrame, radius: int = 3) -> DataFrame:
     rows = with_edit(docs).withColumn("row", F.monotonically_increasing_id())
     told = rows.select(
         "row",
-        "doc_id",
         *KEY,
         "next_k",
         F.length("text").cast("long").alias("n_chars"),
@@ -169,7 +169,7 @@ def fingerprinted(docs: DataFrame, radius: int = 3) -> DataFrame:
             )
         ),
     )
-    carry = ["row", "doc_id", *KEY, "next_k", "n_chars", "mark", "digest"]
+    carry = ["row", *KEY, "next_k", "n_chars", "mark", "digest"]
     both = votes(told, [*carry, "which"], "body", "print").groupBy(*carry).agg(
         F.max(F.when(F.col("which") == 0, F.col("print"))).alias("print"),
         F.max(F.when(F.col("which") == 1, F.col("print"))).alias("edited_print"),
@@ -181,7 +181,7 @@ def fingerprinted(docs: DataFrame, radius: int = 3) -> DataFrame:
         both.join(following, "next_k", "left")
         .join(near, "print", "left")
         .select(
-            "doc_id",
+            F.when(~F.col("none"), F.col("k")).alias("doc_id"),
             "n_chars",
             F.lower(F.hex("digest")).alias("edited_sha256"),
             hexed("print").alias("fingerprint"),
