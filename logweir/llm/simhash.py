@@ -79,7 +79,8 @@ def second_hash(hashes: np.ndarray) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, words: int, wide: bool = False, seeds: bool = False) -> DataFrame:
     """``doc_id, f0, f1, same, seeds`` of every row: the fingerprint's words as longs (``f1`` is 0 unless
-    ``wide``); if ``seeds``, a digest of the set of shingles and its smallest hashes."""
+    ``wide``); if ``seeds``, a digest of the set of shingles and its smallest hashes, and the votes are those of
+    the set, whatever repeats."""
     import xxhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,11 +90,12 @@ def fingerprints(docs: DataFrame, words: int, wide: bool = False, seeds: bool =
                 f0, f1, same, least = [], [], [], []
                 for text in part.column("text").to_pylist():
                     hashes, _ = shingle_hashes(text, words)
+                    if seeds:
+                        hashes = np.unique(hashes)  # likeness is that of sets, so each shingle votes once
                     f0.append(vote(hashes))
                     f1.append(vote(second_hash(hashes)) if wide else 0)
-                    kinds = np.unique(hashes) if seeds else hashes[:0]
-                    same.append(xxhash.xxh64_intdigest(kinds.tobytes()) if seeds else 0)
-                    least.append(kinds[:SEEDS].view(np.int64))
+                    same.append(xxhash.xxh64_intdigest(hashes.tobytes()) if seeds else 0)
+                    least.append(hashes[: SEEDS if seeds else 0].view(np.int64))
                 longs = (pa.array(np.array(x, np.uint64).view(np.int64)) for x in (f0, f1, same))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), *longs, pa.array(least, pa.list_(pa.int64()))],

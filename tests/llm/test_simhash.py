@@ -119,3 +119,14 @@ def test_checked_groups_catch_edits_and_leave_the_rest(spark, docs_of):
     group |= {1000 + i: 1000 for i in range(3)}
     got = simhash.near_duplicates(docs_of(rows), words=5, radius=36, alike=0.8).collect()
     assert {r.doc_id: r.component_id for r in got} == group
+
+
+def test_repeated_lines_do_not_part_equal_sets(spark, docs_of):
+    draw, rows = random.Random(11), []
+    for g in range(30):
+        base, line = words(draw, 104), " ".join(words(draw, 10))
+        # Equal sets of shingles: the line follows itself twice or twenty times.
+        for times in (2, 20):
+            rows.append((len(rows), " ".join(base) + f" {line}" * times))
+    found = simhash.near_duplicates(docs_of(rows), words=5, radius=36, alike=0.8).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: i - i % 2 for i in range(len(rows))}
