@@ -11,7 +11,8 @@ Two ways to deal:
             is 16 bits of a 64-bit fingerprint: no shard ever has more than 65,536 members.
 ``seeds``   for a larger radius with a check of the shingles: the shards are named by pairs of the six
             smallest shingle hashes. Texts whose shingles are alike by 0.8 share two of the six with a
-            probability of 0.998.
+            probability of 0.998. A shard of any size is searched in blocks, and its pairs are checked until
+            they are joined or found unlike.
 
 A shard's tree is built by the task that owns the shard and never broadcast: all trees together grow with
 the documents. A shard gives a few links per member at most, so groups of copies are not expanded into pairs.
@@ -40,8 +41,11 @@ from .graph import components
 SEED = 42
 BLOCKS, EQUAL = 8, 6
 SEEDS = 6
-#: Nearest fingerprints whose shingles are checked for each member, besides the bridges.
-NEAR = 4
+#: Nearest fingerprints of each member whose shingles are checked first, and linked members of a shard that all
+#: its others are checked against next. Both only save work: what they leave apart is checked pair by pair.
+NEAR, HUBS = 4, 8
+#: Members of a shard that one task searches.
+BLOCK = 1 << 13
 #: What makes two texts the same: the fingerprint, and with a check also their set of shingles.
 CLASS = ("f0", "f1", "same")
 SLICE = 4 << 20
@@ -130,16 +134,15 @@ def seed_shards(distinct: DataFrame) -> DataFrame:
     )
 
 
-def links_of(shards: DataFrame, radius: int, near: int = 1) -> DataFrame:
+def links_of(shards: DataFrame, radius: int, near: int = 1, keys: tuple[str, ...] = ("k1", "k2")) -> DataFrame:
     """Links ``a, b, d, bridge`` between members of the same shard, as ``shard_links`` has them.
 
     Rows arrive sorted by shard; a shard of one member costs nothing, one that spans batches is carried.
     """
 
     def linked(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
-        k1, k2 = rows["k1"], rows["k2"]
-        edges = np.flatnonzero((k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])) + 1
-        starts, stops = np.concatenate([[0], edges]), np.concatenate([edges, [k1.size]])
+        edges = np.flatnonzero(np.logical_or.reduce([rows[k][1:] != rows[k][:-1] for k in keys])) + 1
+        starts, stops = np.concatenate([[0], edges]), np.concatenate([edges, [rows["member"].size]])
         prints = np.stack([rows["f0"], rows["f1"]], axis=1).view(np.uint64)
         none = np.array([], np.int64)
         found = [(none, none, none.astype(np.int32), none.astype(bool))]
@@ -149,7 +152,7 @@ def links_of(shards: DataFrame, radius: int, near: int = 1) -> DataFrame:
         columns = [pa.array(np.concatenate(x)) for x in zip(*found)]
         return pa.RecordBatch.from_arrays(columns, ["a", "b", "d", "bridge"])
 
-    names = ["k1", "k2", "f0", "f1", "member"]
+    names = [*keys, "f0", "f1", "member"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[dict[str, np.ndarray]] = []
@@ -157,9 +160,9 @@ def links_of(shards: DataFrame, radius: int, near: int = 1) -> DataFrame:
             if not batch.num_rows:
                 continue
             rows = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in names}
-            last = (rows["k1"] == rows["k1"][-1]) & (rows["k2"] == rows["k2"][-1])
-            cut = rows["k1"].size - int(last.sum())
-            if cut == 0 and kept and kept[-1]["k1"][-1] == rows["k1"][0] and kept[-1]["k2"][-1] == rows["k2"][0]:
+            last = np.logical_and.reduce([rows[k] == rows[k][-1] for k in keys])
+            cut = last.size - int(last.sum())
+            if cut == 0 and kept and all(kept[-1][k][-1] == rows[k][0] for k in keys):
                 kept.append(rows)
                 continue
             kept.append({n: v[:cut] for n, v in rows.items()})
@@ -168,7 +171,7 @@ def links_of(shards: DataFrame, radius: int, near: int = 1) -> DataFrame:
         if kept:
             yield linked({n: np.concatenate([x[n] for x in kept]) for n in names})
 
-    placed = shards.select(*names).repartition("k1", "k2").sortWithinPartitions("k1", "k2", "f0", "f1")
+    placed = shards.select(*names).repartition(*keys).sortWithinPartitions(*keys, "f0", "f1")
     return placed.mapInArrow(run, "a long, b long, d int, bridge boolean")
 
 
@@ -194,8 +197,7 @@ def near_duplicates(
     )
     named = distinct.where("member is not null")
     if checked:
-        found = staged(links_of(seed_shards(named), radius, NEAR), "simhash-links")
-        links = alike_links(nearest_links(found), docs, words, alike)
+        links = alike_links(named, docs, words, radius, alike)
     else:
         links = links_of(block_shards(named), radius)
     roots = components(links, "simhash-groups")
@@ -207,16 +209,6 @@ def near_duplicates(
     )
 
 
-def nearest_links(found: DataFrame) -> DataFrame:
-    """Over all shards, each member's ``NEAR`` nearest and the bridges. The members of a group with an
-    origin are nearest to it, so that checking these keeps the group whole."""
-    best = Window.partitionBy("a").orderBy("d", "b")
-    near = found.where("not bridge").select("a", "b", "d").distinct()
-    near = near.withColumn("place", F.row_number().over(best)).where(F.col("place") <= NEAR)
-    both = near.select("a", "b").union(found.where("bridge").select("a", "b"))
-    return both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-
-
 def hex_of(f0: str, f1: str, wide: bool) -> Column:
     digits = lambda name: F.lower(F.lpad(F.hex(F.col(name)), 16, "0"))
     return F.concat(digits(f1), digits(f0)) if wide else digits(f0)
@@ -232,22 +224,87 @@ def with_shingles(texts: DataFrame, n: int) -> DataFrame:
     return words.select("doc_id", F.array_distinct(F.transform(runs, lambda run: F.xxhash64(run))).alias("shingles"))
 
 
-def alike_links(links: DataFrame, docs: DataFrame, words: int, alike: float) -> DataFrame:
-    """The links whose texts' shingle sets have a Jaccard similarity of ``alike`` or more."""
-    ends = links.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = (
-        docs.select("doc_id", "text")
-        .join(ends, "doc_id", "left_semi")
-        .groupBy("doc_id")
-        .agg(F.min("text").alias("text"))
-    )
-    sets = staged(with_shingles(texts, words), "simhash-sets")
+def dealt(shards: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``shards`` with the number of ``blocks`` that a shard is dealt into and the ``block`` of the member."""
+    blocks = F.coalesce(F.ceil(F.col("n") / BLOCK), F.lit(1)).cast("int")
+    rows = shards.join(sizes, ["k1", "k2"], "left").withColumn("blocks", blocks).drop("n")
+    return rows.withColumn("block", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"))
+
+
+def checked_links(links: DataFrame, sets: DataFrame, alike: float) -> DataFrame:
+    """The ``links (a, b)`` whose shingle sets have a Jaccard similarity of ``alike`` or more."""
+    links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
     shared = F.size(F.array_intersect("sa", "sb"))
+    least, most = F.least(F.size("sa"), F.size("sb")), F.greatest(F.size("sa"), F.size("sb"))
     return (
         links.join(one, "a")
         .join(two, "b")
-        .where(shared / (F.size("sa") + F.size("sb") - shared) >= F.lit(alike))
+        .where((least >= most * F.lit(alike)) & (shared / (F.size("sa") + F.size("sb") - shared) >= F.lit(alike)))
         .select("a", "b")
     )
+
+
+def still_apart(shards: DataFrame, links: DataFrame) -> DataFrame:
+    """``shards`` whose members ``links`` leave in several groups, with each member's group ``root`` and its
+    links ``degree``, and the ``major`` group of the shard."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+    roots = components(links, "simhash-joined").join(ends, "node")
+    rows = shards.join(roots, shards["member"] == roots["node"], "left").select(
+        *shards.columns, F.coalesce("root", "member").alias("root"), F.coalesce("degree", F.lit(0)).alias("degree")
+    )
+    # Counted by group first, so that a shard of one large group sends a row per task.
+    groups = rows.groupBy("k1", "k2", "root").count().groupBy("k1", "k2")
+    open_ = groups.agg(F.max_by("root", F.struct("count", "root")).alias("major"), F.count("*").alias("groups"))
+    return staged(rows.join(open_.where("groups > 1").drop("groups"), ["k1", "k2"]), "simhash-apart")
+
+
+def apart_pairs(data: DataFrame, queries: DataFrame, on: list[str], radius: int, more: Column) -> DataFrame:
+    """Pairs ``a, b`` of members of different groups within ``radius``, a query and a member each."""
+    query = queries.select(*on, *(F.col(c).alias(f"q_{c}") for c in ("f0", "f1", "member", "root")))
+    apart = F.bit_count(F.col("f0").bitwiseXOR(F.col("q_f0"))) + F.bit_count(F.col("f1").bitwiseXOR(F.col("q_f1")))
+    return (
+        data.join(query, on)
+        .where((F.col("root") != F.col("q_root")) & (apart <= radius) & more)
+        .select(F.col("q_member").alias("a"), F.col("member").alias("b"))
+    )
+
+
+def alike_links(named: DataFrame, docs: DataFrame, words: int, radius: int, alike: float) -> DataFrame:
+    """Links whose texts' shingle sets have a Jaccard similarity of ``alike`` or more, enough to join whatever any
+    candidates join: pairs of one shard within ``radius``.
+
+    First each member is checked against its nearest in its block of the shard, then, while that links more, against the
+    members of the shard with the most links, which finds the origin of a crowd of copies. What the links have not
+    joined by then is checked in full: every member outside the shard's largest group against all others of the
+    shard that are not in its own group.
+    """
+    shards = seed_shards(named)
+    sizes = staged(shards.groupBy("k1", "k2").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK), "simhash-sizes")
+    found = staged(links_of(dealt(shards, sizes), radius, NEAR, ("k1", "k2", "block")), "simhash-links")
+    # Members alone in a shard, or far from all others of it, take no further part; those of a split one do.
+    live = found.select(F.explode(F.array("a", "b")).alias("member"))
+    live = staged(live.union(shards.join(sizes, ["k1", "k2"], "left_semi").select("member")).distinct(), "simhash-live")
+    texts = docs.join(live, docs["doc_id"] == live["member"], "left_semi").select("doc_id", "text")
+    sets = staged(with_shingles(texts.groupBy("doc_id").agg(F.min("text").alias("text")), words), "simhash-sets")
+    shards = staged(dealt(seed_shards(named.join(live, "member", "left_semi")), sizes), "simhash-shards")
+
+    links = staged(checked_links(found.where("not bridge").select("a", "b"), sets, alike), "simhash-alike")
+    apart = still_apart(shards, links)
+    while not apart.isEmpty():
+        best = Window.partitionBy("k1", "k2").orderBy(F.desc("degree"), "member")
+        hubs = apart.where("degree > 0").withColumn("place", F.row_number().over(best)).where(F.col("place") <= HUBS)
+        new = staged(checked_links(apart_pairs(apart, hubs, ["k1", "k2"], radius, F.lit(True)), sets, alike), "simhash-alike")
+        if new.isEmpty():
+            break
+        links = links.union(new)
+        apart = still_apart(shards, links)
+
+    # A query meets every block of its shard; two queries meet once.
+    outside = apart.where("root != major")
+    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    queries = outside.withColumn("block", each)
+    once = (F.col("root") == F.col("major")) | (F.col("member") < F.col("q_member"))
+    rest = apart_pairs(apart, queries, ["k1", "k2", "block"], radius, once)
+    return links.union(staged(checked_links(rest, sets, alike), "simhash-alike"))

@@ -130,3 +130,45 @@ def test_repeated_lines_do_not_part_equal_sets(spark, docs_of):
             rows.append((len(rows), " ".join(base) + f" {line}" * times))
     found = simhash.near_duplicates(docs_of(rows), words=5, radius=36, alike=0.8).collect()
     assert {r.doc_id: r.component_id for r in found} == {i: i - i % 2 for i in range(len(rows))}
+
+
+def star(draw, n, lines):
+    """An origin and ``n`` copies with other words in a few places each: like the origin, less so each other."""
+    origin = [f"w{draw.randrange(10**6)}" for _ in range(300)]
+    for _ in range(n):
+        copy = list(origin)
+        for at in draw.sample(range(0, 300, 6), lines):
+            copy[at] = f"x{draw.randrange(10**9)}"
+        yield " ".join(copy)
+    yield " ".join(origin)
+
+
+def test_copies_unlike_each_other_meet_their_origin(spark, docs_of, monkeypatch):
+    # 6 edits of 300 words: 0.82 like the origin, mostly under 0.7 like each other. The origin has the largest id.
+    rows = list(enumerate(star(random.Random(12), 700, 6)))
+    want = brute_sets(rows)
+    assert len(set(want.values())) == 1
+    for block in (1 << 13, 100):
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        found = simhash.near_duplicates(docs_of(rows), words=5, radius=36, alike=0.8).collect()
+        assert {r.doc_id: r.component_id for r in found} == want
+
+
+def brute_sets(rows):
+    sets = {i: {tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for i, t in rows}
+    return brute_components(sets, lambda x, y: len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y]))
+
+
+def test_true_links_among_many_that_share_a_template(spark, docs_of):
+    """150 texts alike by less than 0.8 through a template, and for 10 of them a longer text just over or under it."""
+    draw, rows = random.Random(13), []
+    shared = [f"t{i}" for i in range(150)]
+    for i in range(150):
+        own = [f"o{i}-{j}" for j in range(40)]
+        rows.append((len(rows), " ".join(shared + own)))
+        if i < 10:
+            rows.append((len(rows), " ".join(shared + own + [f"n{i}-{j}" for j in range(40)])))
+    want = brute_sets(rows)
+    assert len(set(want.values())) == 150
+    found = simhash.near_duplicates(docs_of(rows), words=5, radius=36, alike=0.8).collect()
+    assert {r.doc_id: r.component_id for r in found} == want
