@@ -143,15 +143,24 @@ def star(draw, n, lines):
     yield " ".join(origin)
 
 
-def test_copies_unlike_each_other_meet_their_origin(spark, docs_of, monkeypatch):
+def test_copies_unlike_each_other_meet_their_origin(spark, docs_of):
     # 6 edits of 300 words: 0.82 like the origin, mostly under 0.7 like each other. The origin has the largest id.
     rows = list(enumerate(star(random.Random(12), 700, 6)))
     want = brute_sets(rows)
     assert len(set(want.values())) == 1
-    for block in (1 << 13, 100):
-        monkeypatch.setattr(simhash, "BLOCK", block)
-        found = simhash.near_duplicates(docs_of(rows), words=5, radius=36, alike=0.8).collect()
-        assert {r.doc_id: r.component_id for r in found} == want
+    found = simhash.near_duplicates(docs_of(rows), words=5, radius=36, alike=0.8).collect()
+    assert {r.doc_id: r.component_id for r in found} == want
+
+
+def test_large_shards_are_dealt_into_blocks_and_stay_whole(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 50)
+    shards = spark.range(1000).selectExpr("1L AS k1", "2L AS k2", "id AS member")
+    sizes = spark.createDataFrame([(1, 2, 1000)], "k1 long, k2 long, n long")
+    counts = [r["count"] for r in simhash.dealt(shards, sizes).groupBy("k1", "k2", "block").count().collect()]
+    assert len(counts) == 20 and sum(counts) == 1000 and max(counts) < 100
+    rows = list(enumerate(star(random.Random(14), 200, 6)))
+    found = simhash.near_duplicates(docs_of(rows), words=5, radius=36, alike=0.8).collect()
+    assert {r.doc_id: r.component_id for r in found} == brute_sets(rows)
 
 
 def brute_sets(rows):
