@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import run_dir
@@ -26,6 +26,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` with ``task`` and ``place``: the place of every row (from 0) in the given order.
+
+    Rows are dealt by ranges of ``order``, sorted and written; a table of one row per task says where each range
+    begins. What is numbered must be a written table, since Spark samples it for the ranges; an order without ties spreads any
+    group of equal keys.
+    """
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    rows = staged(rows, "numbered").withColumn("task", F.shiftright("at", 33))
+    tasks = rows.groupBy("task").agg(F.count("*").alias("rows"))
+    before = F.sum("rows").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
+    tasks = tasks.select("task", F.coalesce(before, F.lit(0)).alias("before"))
+    inside = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.join(F.broadcast(tasks), "task").withColumn("place", F.col("before") + inside).drop("before", "at")
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chaining, fingerprints, language, licenses, mixing, quality, secrets, simhash, vptree
+from . import bpe, chaining, fingerprints, language, licenses, merkle, mixing, quality, secrets, simhash, vptree
 from .common import table
 
 
@@ -57,6 +57,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -74,6 +78,7 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "pipeline": pipeline,
 }
 
