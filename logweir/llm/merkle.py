@@ -32,13 +32,19 @@ FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 LEVELS, UPPER = 128, 64
 #: Bytes of segments that a join may broadcast.
 BROADCAST = 8 << 20
-#: Siblings to the left and right of a node's ancestors, level by level upwards.
-SEGMENT = "array<struct<left string, right string>>"
+#: Siblings to the left and right of a node's ancestors, level by level upwards. Digests are kept as bytes, half as long as
+#: the hex text that is hashed.
+SEGMENT = "array<struct<left binary, right binary>>"
 
 
 def digest(*parts: Column) -> Column:
-    """Lower-case hex SHA-256 of concatenated texts."""
-    return F.sha2(F.concat(*parts), 256)
+    """SHA-256 of concatenated texts, as bytes."""
+    return F.unhex(F.sha2(F.concat(*parts), 256))
+
+
+def text_of(digests: Column | str) -> Column:
+    """Digests as lower-case hex text."""
+    return F.lower(F.hex(digests))
 
 
 def field(name: str | Column) -> Column:
@@ -47,13 +53,14 @@ def field(name: str | Column) -> Column:
 
 
 def leaf_digests(docs: DataFrame) -> DataFrame:
-    """``doc_id, tree, leaf, shown, tie``: the digest of every document, and of what is shown for it later on."""
+    """``doc_id, tree, leaf, shown, tie``: the digest of every document, and of what is shown for it later on if that is
+    something else."""
     text = F.col("text").cast("string")
     rest = [field(c) for c in FIELDS[:-1]]
     leaf = digest(*rest, field(text))
     tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 0
     other = digest(*rest, field(F.replace(text, F.lit("\n"), F.lit(""))))
-    shown = F.when(tampered & F.contains(text, F.lit("\n")), other).otherwise(leaf)
+    shown = F.when(tampered & F.contains(text, F.lit("\n")), other)
     # NULL first, then the sources by their bytes.
     source = F.col("source").cast("string")
     tree = F.when(source.isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), source))
@@ -96,8 +103,8 @@ def grown(nodes: DataFrame, node_id, name: str) -> Tree:
         up = F.expr(f"place div {ARITY}")
         family = Window.partitionBy("first", up).orderBy("place")
         whole = family.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        before = [F.coalesce(F.lag("digest", i).over(family), F.lit("")) for i in range(ARITY - 1, 0, -1)]
-        after = [F.coalesce(F.lead("digest", i).over(family), F.lit("")) for i in range(1, ARITY)]
+        before = [F.coalesce(F.lag("digest", i).over(family), F.lit(b"")) for i in range(ARITY - 1, 0, -1)]
+        after = [F.coalesce(F.lead("digest", i).over(family), F.lit(b"")) for i in range(1, ARITY)]
         linked = nodes.where("n > 1").withColumns(
             {
                 "left": F.concat(*before),
@@ -115,7 +122,7 @@ def grown(nodes: DataFrame, node_id, name: str) -> Tree:
             "first",
             up.alias("place"),
             F.expr(f"(n + {ARITY - 1}) div {ARITY}").alias("n"),
-            digest("digest", "right").alias("digest"),
+            digest(text_of("digest"), text_of("right")).alias("digest"),
             F.col("parent").alias("id"),
             (F.col("top") + 1).alias("height"),
         )
@@ -158,13 +165,13 @@ def manifest(docs: DataFrame) -> DataFrame:
     count = subs.count()
     if not count:
         none = ["leaf", "subroot", "root", "proof_sha256", "folded_root"]
-        return leaves.select("doc_id", *(F.col("leaf").alias(c) for c in none), F.lit(True).alias("verified"))
+        return leaves.select("doc_id", *(text_of("leaf").alias(c) for c in none), F.lit(True).alias("verified"))
     upper = grown(
         subs.select(F.lit(0).cast("long").alias("first"), "place", F.lit(count).cast("long").alias("n"), "digest", "id", "height"),
         lambda level, place: place * LEVELS + UPPER + level,
         "merkle-root",
     )
-    root = upper.tops.first()["digest"]
+    root = F.lit(upper.tops.first()["digest"].hex())
 
     # A leaf that is a subroot itself is linked among the sources.
     subroots = upper.levels[0].select("id", "height", "parent", "left", "right", "digest") if upper.levels else None
@@ -190,19 +197,81 @@ def manifest(docs: DataFrame) -> DataFrame:
     while far is not None and distance < depth:
         # Only an ancestor at this distance, or what stands above one, is asked for from here on.
         far = staged(far.where(F.col("height") >= distance), f"merkle-far-{distance}")
-        small = far.count() * (distance * (ARITY - 1) * 72 + 100) <= BROADCAST
+        small = far.count() * (distance * (ARITY - 1) * 56 + 100) <= BROADCAST
         near = jumped(near, F.broadcast(far) if small else far)
         distance *= 2
         if distance < depth:
             far = jumped(far.where(F.col("height") >= distance), F.broadcast(far) if small else far)
 
-    siblings = F.array_join(F.transform("segment", lambda s: F.concat(s["left"], s["right"])), "")
-    folded = F.aggregate("segment", F.col("shown"), lambda at, s: F.sha2(F.concat(s["left"], at, s["right"]), 256))
+    siblings = F.array_join(F.transform("segment", lambda s: text_of(F.concat(s["left"], s["right"]))), "")
+    folded = F.aggregate(
+        "segment",
+        text_of(F.coalesce("shown", "leaf")),
+        lambda at, s: F.sha2(F.concat(text_of(s["left"]), at, text_of(s["right"])), 256),
+    )
     return near.select(
         "doc_id",
-        "leaf",
-        F.coalesce("sub", F.lit(root)).alias("subroot"),
-        F.lit(root).alias("root"),
+        text_of("leaf").alias("leaf"),
+        F.coalesce(text_of("sub"), root).alias("subroot"),
+        root.alias("root"),
         F.sha2(siblings, 256).alias("proof_sha256"),
         folded.alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _climbed(name: str, start: str, kin: str) -> str:
+    """SQL: ``name``, the proof and the folded digest of every row of ``start`` (d, s, idx, proof, fold) up to the top of its tree."""
+    return f"""{name} as (
+  select d, s, 0 as level, idx, proof, fold from {start}
+  union all
+  select c.d, c.s, c.level + 1, c.idx // 3, c.proof || k.l || k.r, sha256(k.l || c.fold || k.r)
+  from {name} c join {kin} k using (s, level, idx) where k.n > 1)"""
+
+
+def _grown(name: str, start: str) -> str:
+    """SQL: ``name``, all nodes of the trees above ``start`` (s, idx, digest, n), and ``name``_kin with their siblings."""
+    return f"""{name} as (
+  select s, 0 as level, idx, digest, n from {start}
+  union all
+  select s, level + 1, idx // 3, sha256(string_agg(digest, '' order by idx)), max((n + 2) // 3)
+  from {name} where n > 1 group by s, level, idx // 3),
+{name}_kin as (
+  select s, level, idx, n,
+    coalesce(lag(digest, 2) over run, '') || coalesce(lag(digest) over run, '') as l,
+    coalesce(lead(digest) over run, '') || coalesce(lead(digest, 2) over run, '') as r
+  from {name} window run as (partition by s, level, idx // 3 order by idx))"""
+
+
+def oracle_sql() -> str:
+    text = "case when even then replace(text, chr(10), '') else text end"
+    coded = lambda c: f"coalesce(strlen({c}) || ':' || {c}, '-')"
+    rest = " || ".join(coded(f"cast({c} as varchar)") for c in FIELDS[:-1])
+    return f"""with recursive bytes as (
+  select *, row_number() over () as d, list_transform(range(length(cast(doc_id as varchar))),
+      lambda i: cast(ascii(substr(cast(doc_id as varchar), cast(i as integer) + 1, 1)) as bigint)) as b from documents),
+parity as (
+  -- CRC-32 bit by bit; its last step inverts the lowest bit
+  select *, list_reduce(list_prepend(cast(4294967295 as bigint), b), lambda c, x: list_reduce(
+    list_prepend(xor(c, x), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+    lambda y, z: case when y & 1 = 1 then xor(y >> 1, 3988292384) else y >> 1 end)) & 1 = 1 as even from bytes),
+leaves as (
+  select d, doc_id, source, sha256({rest} || {coded("text")}) as leaf, sha256({rest} || {coded("(" + text + ")")}) as shown
+  from parity),
+placed as (
+  select d, doc_id, leaf, shown, dense_rank() over (order by source nulls first) - 1 as s,
+    row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as idx,
+    leaf as digest, count(*) over (partition by source) as n
+  from leaves),
+{_grown("tree", "placed")},
+tops as (select -1 as s, s as idx, digest, count(*) over () as n from tree where n = 1),
+{_grown("crown", "tops")},
+starts as (select d, s, idx, '' as proof, shown as fold from placed),
+{_climbed("low", "starts", "tree_kin")},
+halfway as (
+  select l.d, -1 as s, l.s as idx, l.proof, l.fold from low l join tree t using (s, level, idx) where t.n = 1),
+{_climbed("high", "halfway", "crown_kin")}
+select p.doc_id, p.leaf, tops.digest as subroot, root.digest as root, sha256(h.proof) as proof_sha256,
+  h.fold as folded_root, h.fold = root.digest as verified
+from placed p join tops on tops.idx = p.s
+  join high h on h.d = p.d join crown c on c.level = h.level and c.idx = h.idx and c.n = 1
+  cross join (select digest from crown where n = 1) root"""
