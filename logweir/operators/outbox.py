@@ -88,3 +88,26 @@ def relay_once(
     sent = read_log(outbox.sparkSession, log_root, [topic]).where(F.col("batch") == batch)
     ids = sent.select(F.get_json_object("value", "$.eventId").alias("id")).distinct()
     return report, mark(outbox, ids, "id", "published")
+
+
+def publish(records: DataFrame, root: str, batch: str) -> None:
+    """Appends relayed records to a log of plain folders, one per topic and batch; a batch written again replaces itself."""
+    records.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "topic", "batch"
+    ).parquet(root)
+
+
+def published(spark: SparkSession, root: str, batch: str | None = None) -> DataFrame:
+    """Records of a log of plain folders, of one batch only where that is named."""
+    schema = "key string, value string, created_at timestamp, id string, topic string, batch string"
+    rows = spark.read.schema(schema).parquet(root)
+    return rows if batch is None else rows.where(F.col("batch") == batch)
+
+
+def relay_and_mark(outbox: DataFrame, root: str, batch: str, topic: str = "orders.events") -> DataFrame:
+    """Publishes what is pending, then gives the outbox with what is found in the log marked.
+
+    A stop between the two leaves rows pending, and the next relay sends them again under the same event ids.
+    """
+    publish(relay(outbox, topic), root, batch)
+    return mark(outbox, published(outbox.sparkSession, root, batch).select("id").distinct(), "id", "published")

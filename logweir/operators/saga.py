@@ -89,33 +89,41 @@ def saga_replies(
     return first.join(emitted, "event_id", "left_anti").select(*replies.columns)
 
 
-def saga_progress(
-    events: DataFrame, as_of: Column, stuck_after: str, steps: Sequence[str] = ORDER_STEPS
-) -> DataFrame:
-    """One row per saga: steps seen, furthest step, the step expected next, and whether it is stuck.
-
-    Stuck means unfinished with the last step more than ``stuck_after`` (an interval) before
-    ``as_of``. All partial values have fixed width, so this is a hash aggregate.
-    """
+def step_rows(events: DataFrame, steps: Sequence[str] = ORDER_STEPS) -> DataFrame:
+    """The events that are steps of a saga, with the number of the step."""
     number = F.lit(0)
     for i, step in enumerate(steps, start=1):
         number = F.when(F.col("event_type") == step, F.lit(i)).otherwise(number)
-    rows = events.where(F.col("event_type").isin(*steps)).select(
-        "aggregate_id", "timestamp", number.alias("_step")
-    )
-    seen = {f"step_{i}": F.max(F.col("_step") == i) for i in range(1, len(steps) + 1)}
-    folded = rows.groupBy("aggregate_id").agg(
-        F.max("_step").alias("furthest"),
-        F.max("timestamp").alias("_last_at"),
-        *[expr.alias(name) for name, expr in seen.items()],
-    )
+    rows = events.where(F.col("event_type").isin(*steps))
+    return rows.select("aggregate_id", "timestamp", number.alias("_step"))
+
+
+def step_folds(steps: Sequence[str] = ORDER_STEPS) -> list[Column]:
+    """What a saga's steps amount to. Maxima of fixed width: repeated and late events change nothing, and a hot saga
+    sends one row per task."""
+    seen = [F.max(F.col("_step") == i).alias(f"step_{i}") for i in range(1, len(steps) + 1)]
+    return [F.max("_step").alias("furthest"), F.max("timestamp").alias("_last_at"), *seen]
+
+
+def described(folded: DataFrame, late: Column, steps: Sequence[str] = ORDER_STEPS) -> DataFrame:
+    """Folded steps by name; an unfinished saga for which ``late`` holds is stuck."""
     names = F.array(*[F.lit(step) for step in steps])
     done = F.col("furthest") == len(steps)
-    late = F.col("_last_at") < as_of - F.expr(f"interval {stuck_after}")
     return folded.select(
         "aggregate_id",
-        *seen,
+        *(f"step_{i}" for i in range(1, len(steps) + 1)),
         F.element_at(names, F.col("furthest")).alias("furthest_step"),
         F.try_element_at(names, F.col("furthest") + 1).alias("next_step"),
         (~done & late).alias("stuck"),
     )
+
+
+def saga_progress(
+    events: DataFrame, as_of: Column, stuck_after: str, steps: Sequence[str] = ORDER_STEPS
+) -> DataFrame:
+    """One row per saga: steps seen, furthest step, the step expected next, and whether it is stuck.
+
+    Stuck means unfinished with the last step more than ``stuck_after`` (an interval) before ``as_of``.
+    """
+    folded = step_rows(events, steps).groupBy("aggregate_id").agg(*step_folds(steps))
+    return described(folded, F.col("_last_at") < as_of - F.expr(f"interval {stuck_after}"), steps)

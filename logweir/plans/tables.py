@@ -60,6 +60,34 @@ def event_parts(spark: SparkSession, sf_dir: str, root: str, parts: int = 3) ->
         yield spark.readStream.schema(schema).parquet(root)
 
 
+def late_parts(spark: SparkSession, sf_dir: str, root: str, parts: int = 3) -> Iterator[DataFrame]:
+    """``events`` as a stream with late and repeated records: every fifth event comes with the part after its own, and
+    every seventh comes again then. Yields the stream once per delivery."""
+    rows = table(spark, sf_dir, "events")
+    low, high = rows.agg(F.min("event_id"), F.max("event_id")).first()
+    part = F.floor((F.col("event_id") - low) * parts / (high - low + 1))
+    late, again = F.col("event_id") % 5 == 0, F.col("event_id") % 7 == 0
+    for p in range(parts + 1):
+        here = ((part == p) & ~late) | ((part == p - 1) & (late | again))
+        rows.where(here).write.parquet(f"{root}/part={p}")
+        yield spark.readStream.schema(f"{EVENTS_SCHEMA}, part int").parquet(root)
+
+
+def caused_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the event that caused them, in blocks of fifty: a tree that branches in two, one event whose cause is
+    not in the log, and a circle of three."""
+    number = F.col("event_id") % 50
+    block = F.col("event_id") - number
+    cause = (
+        F.when(number == 0, F.lit(None))
+        .when(number < 46, block + F.floor((number - 1) / 2))
+        .when(number == 46, F.lit(-1))
+        .when(number == 47, block + 49)
+        .otherwise(F.col("event_id") - 1)
+    )
+    return table(spark, sf_dir, "events").select("event_id", cause.cast("bigint").alias("caused_by"))
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a stream, whether the table is one file or a folder of files."""
     return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parque[t]")
