@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import run_dir
+from ..session import drop_folder, run_dir
 
 # A word: any run of characters that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,6 +26,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Removes a ``staged`` table that nothing reads any more."""
+    for folder in {path.rpartition("/")[0] for path in df.inputFiles()}:
+        drop_folder(df.sparkSession, folder)
+
+
 def numbered(df: DataFrame, *order: str) -> DataFrame:
     """``df`` with ``task`` and ``place``: the place of every row (from 0) in the given order.
 
