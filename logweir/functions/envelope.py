@@ -22,8 +22,13 @@ DECODED = (
 
 
 def stable_id(*parts: Column | str) -> Column:
-    """Id derived from content, so that a job run again gives its events the same ids."""
-    return F.sha2(F.concat_ws("#", *[as_col(p).cast("string") for p in parts]), 256)
+    """Id derived from content, so that a job run again gives its events the same ids.
+
+    Every part is told apart by its length, and NULL from any text, so that other parts never give the same id.
+    """
+    texts = [as_col(p).cast("string") for p in parts]
+    told = [F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.sha2(F.concat(*told), 256)
 
 
 def iso_instant(ts: Column | str) -> Column:

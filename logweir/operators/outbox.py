@@ -15,10 +15,10 @@ from ..sources.tables import commit, committed, mark
 def stage_outbox(changes: DataFrame, event_type: str = "OrderPaid") -> tuple[DataFrame, DataFrame]:
     """Order rows and outbox rows of the same changes (``id, status, amount, updated_at``).
 
-    The outbox id is the envelope's event id. It is derived from the change, so both tables and
-    any second attempt agree on it.
+    The outbox id is the envelope's event id. It is derived from the whole change, so both tables and any second
+    attempt agree on it, and two changes of one order at one time have ids of their own.
     """
-    event_id = stable_id(F.lit(event_type), F.col("id"), F.unix_micros("updated_at"))
+    event_id = stable_id(F.lit(event_type), F.col("id"), F.unix_micros("updated_at"), F.col("status"), F.col("amount"))
     kind = F.lit(event_type)
     payload = F.struct(F.col("amount"))
     orders = changes.select("id", "status", "amount", "updated_at")

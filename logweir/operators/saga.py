@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.envelope import stable_id
 from ..session import lookup_table
+from ..sources.tables import first_per_key
 
 
 @dataclass(frozen=True)
@@ -83,8 +84,8 @@ def saga_replies(
         _id_after(F.col("path")).alias("event_id"),
         (F.col("payload") if payload is None else payload).alias("payload"),
     )
-    nearest = Window.partitionBy("event_id").orderBy("hop")
-    first = replies.withColumn("_place", F.row_number().over(nearest)).where("_place = 1").drop("_place")
+    # Reduced inside each task first, and the anti-join finds the rows where the reduction has put them.
+    first = first_per_key(replies, ["event_id"], ["hop"])
     emitted = events.where(F.col("event_type").isin(*sorted({r.reply for r in rules}))).select("event_id")
     return first.join(emitted, "event_id", "left_anti").select(*replies.columns)
 

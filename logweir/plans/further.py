@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import difference, lag, outbox, projection, saga, trace
 from ..schema import PARTITIONS
 from ..session import run_dir
-from ..sources import reported
+from ..sources import reported, zones
 from ..streaming import changelog, facts, inbox, routed, sagas as saga_streams
 from ..streaming import queries as streams
 from . import further_oracle as sql
@@ -208,3 +208,19 @@ def outbox_relayed_twice(spark, sf_dir):
         "aggregate_id", "outbox_rows", "still_pending",
         *(F.coalesce(c, zero).alias(c) for c in ("sent", "distinct_ids", "sent_at_last")),
     )
+
+
+@query(sql.TAIL_READ)
+def tail_read_zones(spark, sf_dir):
+    """The last records of every partition, from the folders that the log's zones name."""
+    root, parts = run_dir(spark, "zones"), 8
+    log = placed_log(spark, sf_dir)
+    low, high = table(spark, sf_dir, "events").agg(F.min("event_id"), F.max("event_id")).first()
+    batch = F.concat(F.lit("b"), F.floor((F.col("seq") - low) * parts / (high - low + 1)).cast("string"))
+    rows = log.select("topic", batch.alias("batch"), "partition", F.col("seq").alias("offset"), "key", "event_type")
+    rows.write.partitionBy("topic", "batch").parquet(f"{root}/log")
+    stored = spark.read.schema("partition int, offset long, key string, event_type string, topic string, batch string").parquet(f"{root}/log")
+    for i in range(parts):
+        zones.add_zones(stored, f"{root}/zones", f"b{i}")
+    found = zones.tail_by_zones(stored, zones.read_zones(spark, f"{root}/zones"))
+    return found.select("partition", "offset", "key", "event_type", F.lit("-").alias("status"))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from .oracle import LOG, PLACED, PROJECTION, SAGA_PROGRESS
+from .oracle import LOG, PLACED, PROJECTION, SAGA_PROGRESS, TAIL_READ
 from .oracle import PAYMENTS_STREAM as PAYMENTS
 
-__all__ = ["PAYMENTS", "PROJECTION", "SAGA_PROGRESS"]
+__all__ = ["PAYMENTS", "PROJECTION", "SAGA_PROGRESS", "TAIL_READ"]
 
 SAGA_SESSIONS = f"""with {LOG},
 steps as (

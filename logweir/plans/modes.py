@@ -140,9 +140,9 @@ def consumer_groups(spark, root):
 
 @mode("event-styles")
 def event_styles(spark, root):
-    state = {"name": "ACME", "segment": "B2B", "status": "ACTIVE", "version": 5}
+    state = {"name": "Northlight", "segment": "B2B", "status": "ACTIVE", "version": 5}
     items = [
-        ("orders.notifications", "order-777", "OrderPaid", "order-777", {"note": "only fact + id"}),
+        ("orders.notifications", "order-777", "OrderPaid", "order-777", {"note": "paid, look the rest up"}),
         ("orders.state", "customer-19", "CustomerChanged", "customer-19", state),
     ]
     _send(spark, root, "event-styles", items)
@@ -235,7 +235,7 @@ def retry_dlt(spark, root):
         ("ok-1", {"case": "ok"}),
         ("temp-1", {"case": "temporary"}),
         ("slow-1", {"case": "temporary-long"}),
-        ("bad-1", {"case": "poison", "schema": "invalid business field"}),
+        ("bad-1", {"case": "poison", "schema": "quantity below zero"}),
     ]
     _send(spark, root, "retry-dlt", [(ORDERS, k, "OrderPaid", k, p) for k, p in cases])
     records = decode_log(_log(spark, root, ORDERS, batch="retry-dlt"))
@@ -250,9 +250,9 @@ def retry_dlt(spark, root):
 @mode("contract")
 def contract_mode(spark, root):
     versions = [
-        (1, '{"customerId":"c-1","name":"ACME"}'),
-        (2, '{"customerId":"c-1","name":"ACME","segment":"B2B"}'),
-        (3, '{"id":"c-1","fullName":"ACME Ltd"}'),
+        (1, '{"customerId":"c-1","name":"Northlight"}'),
+        (2, '{"customerId":"c-1","name":"Northlight","segment":"B2B"}'),
+        (3, '{"id":"c-1","fullName":"Northlight Tools"}'),
     ]
     events = spark.createDataFrame(versions, "event_version int, payload string")
     checked = contract.check_contract(events.withColumn("event_type", F.lit("CustomerChanged")))
@@ -275,7 +275,7 @@ def good_separate_groups(spark, root):
 def bad_universal_topic(spark, root):
     items = [
         ("all.events", "order-1", "OrderPaid", "order-1", {"amount": 100}),
-        ("all.events", "customer-1", "CustomerBlocked", "customer-1", {"reason": "AML"}),
+        ("all.events", "customer-1", "CustomerBlocked", "customer-1", {"reason": "unpaid invoices"}),
         ("all.events", "invoice-1", "InvoiceSent", "invoice-1", {"email": "user@example.org"}),
     ]
     _send(spark, root, "bad-universal-topic", items)

@@ -13,6 +13,11 @@ LOG = """log as (
   from events)"""
 
 
+def stable(*parts: str) -> str:
+    """Id of some text expressions: each with its length, NULL as a dash."""
+    return "sha256(" + " || ".join(f"coalesce(strlen({p}) || ':' || {p}, '-')" for p in parts) + ")"
+
+
 def hashed(keys: str) -> str:
     """murmur2 of each key of a relation, as relation ``hashed(key, hash)``."""
     m, w = "1540483477", "4294967295"
@@ -76,14 +81,15 @@ PAYMENTS_STREAM = INBOX_PAYMENTS
 INBOX_STREAM = f"""with {LOG} select event_id, key as aggregate_id, amount from log
 where event_type = 'OrderPaid'"""
 
-OUTBOX_WRITE = """select 'order-' || o_orderkey as id, o_orderstatus as status,
+OUTBOX_WRITE = f"""select 'order-' || o_orderkey as id, o_orderstatus as status,
   cast(trunc(o_totalprice) as integer) as amount,
-  sha256('OrderPaid#order-' || o_orderkey || '#' || epoch_us(o_orderdate)) as event_id,
+  {stable("'OrderPaid'", "('order-' || o_orderkey)", "cast(epoch_us(o_orderdate) as varchar)", "o_orderstatus",
+          "cast(cast(trunc(o_totalprice) as integer) as varchar)")} as event_id,
   'OrderPaid' as event_type, cast(trunc(o_totalprice) as integer) as event_amount, true as ids_agree
 from orders"""
 
 OUTBOX = f"""box as (
-  select sha256('OrderPaid#' || o_orderkey) as id, 'c-' || o_custkey as key,
+  select {stable("'OrderPaid'", "cast(o_orderkey as varchar)")} as id, 'c-' || o_custkey as key,
     cast(trunc(o_totalprice) as integer) as amount, o_orderstatus <> 'P' as published,
     o_orderdate as created_at
   from orders),
@@ -151,7 +157,7 @@ saga as (
   select 'orders.events' as topic, key, event_type, 0 as hop, cast(null as varchar) as caused_by, event_id, amount
   from log where event_type = 'OrderCreated'
   union all
-  select rules.topic, key, rules.event_type, hop + 1, event_id, sha256(event_id || '#' || rules.event_type), amount
+  select rules.topic, key, rules.event_type, hop + 1, event_id, {stable("event_id", "rules.event_type")}, amount
   from saga join rules on saga.event_type = rules.cause)"""
 SAGA_NEXT = f"with {SAGA} select topic, key, event_type, hop, caused_by, event_id, amount from saga where hop > 0"
 SAGA_RESUMED = f"""with {SAGA}
@@ -302,7 +308,7 @@ ENVELOPE_ROUNDTRIP = f"""with {LOG}
 select event_id, event_type, 1 as event_version, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') as occurred_at,
   epoch_us(ts) as occurred_micros, key as aggregate_id, amount, coalesce(kase, 'ok') as case_name
 from log"""
-STABLE_ID = f"""with {LOG} select seq, sha256(event_type || '#' || key || '#' || seq) as stable_id from log"""
+STABLE_ID = f"""with {LOG} select seq, {stable("event_type", "key", "cast(seq as varchar)")} as stable_id from log"""
 
 OUTCOME = """case when event_type = 'CustomerBlocked' then 'malformed JSON'
     when event_type = 'OrderPlaced' then 'not a JSON object' when event_type = 'OrderConfirmed' then 'empty value'

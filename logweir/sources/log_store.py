@@ -101,22 +101,24 @@ def end_offsets(log: DataFrame) -> DataFrame:
 def tail_read(log: DataFrame, n: int = 12, partitions: Iterable[int] | None = None) -> DataFrame:
     """Records with ``offset >= max(0, end - n)`` in every partition of the log.
 
-    The ends come from one scan of the position columns, and are one row per partition of the log: few
-    enough to be read here and become the filter, a lower bound for each topic and partition. So a short
-    topic does not keep the scan from skipping the row groups before a long one's tail.
+    The ends come from one scan of the position columns, one row per partition of the log. They are joined with the
+    log; beside that each topic's lowest bound goes to the scan, which skips the row groups before it whatever
+    the other topics hold.
     """
     chosen = log if partitions is None else log.where(F.col("partition").isin(*partitions))
-    tails, lowest = F.lit(False), {}
-    for end in end_offsets(chosen).collect():
-        first = max(0, end["end_offset"] - n)
-        lowest[end["topic"]] = min(first, lowest.get(end["topic"], first))
-        place = F.col("topic").eqNullSafe(F.lit(end["topic"])) & F.col("partition").eqNullSafe(F.lit(end["partition"]))
-        tails = tails | (place & (F.col("offset") >= F.lit(first)))
-    # Said again per topic, which the scan understands even where the partition is derived from the key.
+    ends = end_offsets(chosen)
+    rows = [(e["topic"], e["partition"], max(0, e["end_offset"] - n)) for e in ends.collect()]
+    schema = T.StructType([ends.schema["topic"], ends.schema["partition"], T.StructField("_first", T.LongType())])
+    bounds = log.sparkSession.createDataFrame(rows, schema)
+    lowest = {}
+    for topic, _, first in rows:
+        lowest[topic] = min(first, lowest.get(topic, first))
     coarse = F.lit(False)
     for topic, first in lowest.items():
         coarse = coarse | (F.col("topic").eqNullSafe(F.lit(topic)) & (F.col("offset") >= F.lit(first)))
-    return chosen.where(coarse).where(tails)
+    there = bounds.toDF("_topic", "_partition", "_first")
+    same = F.col("topic").eqNullSafe(F.col("_topic")) & F.col("partition").eqNullSafe(F.col("_partition"))
+    return chosen.where(coarse).join(there, same).where(F.col("offset") >= F.col("_first")).select(*log.columns)
 
 
 def last_n(log: DataFrame, n: int, order: str = "offset") -> DataFrame:
@@ -128,34 +130,45 @@ def last_n(log: DataFrame, n: int, order: str = "offset") -> DataFrame:
     return log.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= n).drop("_rank")
 
 
-def bounded_read(log: DataFrame, expected: int) -> DataFrame:
+POSITION = ("topic", "partition", "offset")
+
+
+def bounded_read(log: DataFrame, expected: int, block: int = 1 << 16) -> DataFrame:
     """At most ``expected`` records, the first in (topic, partition, offset) order, without sorting the log.
 
-    Counts per partition tell which partitions are wanted whole and in which one the read ends; only
-    that one is cut, by the rank of its offsets.
+    Counts per block of offsets, from the position columns alone, say in which block the read ends; the
+    place in it is found among that block's records. The read is then everything up to one position: a filter of
+    constant size, however many topics and partitions there are.
     """
-    counts = log.groupBy("topic", "partition").agg(F.count("*").alias("n")).orderBy("topic", "partition")
-    wanted, left = F.lit(False), expected
-    for part in counts.collect():  # one row per partition of the log
-        place = F.col("topic").eqNullSafe(F.lit(part["topic"])) & F.col("partition").eqNullSafe(F.lit(part["partition"]))
-        if part["n"] <= left:
-            wanted, left = wanted | place, left - part["n"]
-            continue
-        if left > 0:
-            last = _offset_of_rank(log.where(place), left)
-            wanted = wanted | (place & (F.col("offset") <= F.lit(last)))
-        break
-    return log.where(wanted)
-
-
-def _offset_of_rank(part: DataFrame, rank: int, block: int = 1 << 16) -> int:
-    """The offset of the record with this rank in one partition of the log: counts per block of offsets
-    lead to a block, whose records are few."""
-    blocks = part.groupBy(F.floor(F.col("offset") / block).alias("b")).agg(F.count("*").alias("n"))
-    running = F.sum("n").over(Window.orderBy("b"))
-    hit = blocks.withColumn("upto", running).where(F.col("upto") >= rank).orderBy("b").first()
-    inside = part.where(F.floor(F.col("offset") / block) == hit["b"]).select("offset").orderBy("offset")
-    return inside.limit(rank - (hit["upto"] - hit["n"])).agg(F.max("offset")).first()[0]
+    if expected <= 0:
+        return log.where(F.lit(False))
+    blocks = log.groupBy("topic", "partition", F.floor(F.col("offset") / block).alias("b")).agg(F.count("*").alias("n"))
+    running = F.sum("n").over(Window.orderBy("topic", "partition", "b"))
+    end = blocks.withColumn("upto", running).where(F.col("upto") >= expected).orderBy("upto").first()
+    if end is None:
+        return log
+    inside = F.col("topic").eqNullSafe(F.lit(end["topic"])) & F.col("partition").eqNullSafe(F.lit(end["partition"]))
+    inside = inside & F.floor(F.col("offset") / block).eqNullSafe(F.lit(end["b"]))
+    rank = expected - (end["upto"] - end["n"])
+    last = log.where(inside).select("offset").orderBy("offset").limit(rank).agg(F.max("offset")).first()[0]
+    return log.where(_upto(dict(zip(POSITION, (end["topic"], end["partition"], last)))))
+
+
+def _upto(place: dict[str, object]) -> Column:
+    """Whether a row stands at ``place`` or before it; NULL is before everything."""
+    names = list(place)
+    out = F.lit(True)
+    for name in reversed(names):
+        value = F.lit(place[name])
+        before = F.col(name).isNull() | (F.col(name) < value) if place[name] is not None else F.lit(False)
+        out = F.coalesce(before, F.lit(False)) | (F.col(name).eqNullSafe(value) & out)
+    return out
+
+
+def bounded_status(log: DataFrame, expected: int) -> DataFrame:
+    """What ``read_status`` says of a bounded read, from a count of the log's rows without reading them."""
+    rows = log.agg(F.least(F.count("*"), F.lit(max(expected, 0)).cast("bigint")).alias("read"))
+    return rows.select("read", F.lit(expected).cast("bigint").alias("expected"), (F.col("read") >= expected).alias("complete"))
 
 
 def read_status(rows: DataFrame, expected: int) -> DataFrame:

@@ -20,7 +20,8 @@ from ..session import path_exists
 from ..sources.log_store import append_log, reject_reason
 from ..sources.tables import last_per_key
 
-# Parts a hot key is split into by streaming de-duplication.
+# Parts a hot key is split into by streaming de-duplication, where the caller does not say: a cluster wants some
+# for every core that should share it.
 SALTS = 16
 
 
@@ -75,17 +76,19 @@ def state_stream(states: DataFrame, keys: Iterable[str], version: str = "version
 # ---------------------------------------------------------------- idempotent apply
 
 
-def _once(rows: DataFrame, keys: list[str], spread: Sequence[str], within_watermark: bool = False) -> DataFrame:
+def _once(
+    rows: DataFrame, keys: list[str], spread: Sequence[str], within_watermark: bool = False, salts: int = SALTS
+) -> DataFrame:
     """Each key once, remembered in the state store.
 
     Streaming de-duplication does not combine before its shuffle. Where ``spread`` names the
     columns that tell deliveries apart (partition and offset), rows are first reduced per key
-    and one of ``SALTS`` salts, so a key delivered over and over is shared by that many tasks and
+    and one of ``salts`` salts, so a key delivered over and over is shared by that many tasks and
     the last step sees it at most that often. State then holds each key twice.
     """
     drop = DataFrame.dropDuplicatesWithinWatermark if within_watermark else DataFrame.dropDuplicates
     if spread:
-        salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)))
+        salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
         rows = drop(salted, [*keys, "_salt"]).drop("_salt")
     return drop(rows, keys)
 
@@ -95,6 +98,7 @@ def inbox_stream(
     event_type: str = "OrderPaid",
     watermark: str | None = None,
     spread: Sequence[str] = (),
+    salts: int = SALTS,
 ) -> DataFrame:
     """Events of a type, each id once.
 
@@ -104,16 +108,16 @@ def inbox_stream(
     wanted = events.where(F.col("event_type") == event_type)
     if watermark is not None:
         wanted = wanted.withWatermark("timestamp", watermark)
-    return _once(wanted, ["event_id"], spread, within_watermark=watermark is not None)
+    return _once(wanted, ["event_id"], spread, watermark is not None, salts)
 
 
 def payments_stream(
-    events: DataFrame, amount: Column, event_type: str = "OrderPaid", spread: Sequence[str] = ()
+    events: DataFrame, amount: Column, event_type: str = "OrderPaid", spread: Sequence[str] = (), salts: int = SALTS
 ) -> DataFrame:
     """Payments, the first to arrive per order, out of events taken once."""
-    once = inbox_stream(events, event_type, spread=spread)
+    once = inbox_stream(events, event_type, spread=spread, salts=salts)
     paid = once.select(F.col("aggregate_id").alias("order_id"), amount.alias("amount"), *spread)
-    return _once(paid, ["order_id"], spread).select("order_id", "amount")
+    return _once(paid, ["order_id"], spread, salts=salts).select("order_id", "amount")
 
 
 def write_inbox(

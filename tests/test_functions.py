@@ -140,3 +140,12 @@ def test_one_pass_check_agrees_with_the_object_test(spark, fields):
     df = spark.createDataFrame([(v,) for v in VALUES], "value string").withColumn("e", parse_checked("value", fields))
     assert df.where(readable("e", "value") != is_object("value")).count() == 0
     assert decode_log(df.select("value"), fields).count() == df.where(is_object("value")).count()
+
+
+def test_other_parts_give_other_ids(spark):
+    parts = [("a", None, "b"), ("a", "b", None), (None, "a", "b"), ("a#b", "", ""), ("a", "#b", ""), ("a", "b", ""), ("1:a", "", "b"), ("-", None, "b")]
+    rows = spark.createDataFrame(parts, "x string, y string, z string")
+    assert rows.select(stable_id("x", "y", "z").alias("id")).distinct().count() == len(parts)
+    assert rows.where("x = 'a'").select(stable_id(F.lit("a"), F.lit("b")).alias("id")).distinct().collect() != (
+        rows.where("x = 'a#b'").select(stable_id("x").alias("id")).distinct().collect()
+    )

@@ -7,7 +7,7 @@ from helpers import plan_of
 from pyspark.sql import functions as F
 
 from logweir.operators import difference, lag, outbox, trace
-from logweir.sources import reported
+from logweir.sources import reported, zones
 from logweir.streaming import changelog, inbox, routed
 from logweir.streaming import queries as q
 
@@ -184,3 +184,22 @@ def test_relay_after_a_stop_sends_the_same_ids_again(spark, tmp_path, stop):
     assert after.where("not published").count() == 0
     sent = outbox.published(spark, str(tmp_path))
     assert sent.count() == (4 if stop else 2) and sent.select("id").distinct().count() == 2
+
+
+def test_a_tail_comes_from_the_folders_that_zones_name(spark, tmp_path):
+    schema = "topic string, batch string, partition int, offset long"
+    rows = [(t, f"b{o // 10}", p, o) for t, size in (("long", 60), ("short", 5)) for p in range(2) for o in range(size + p)]
+    log = spark.createDataFrame(rows, schema)
+    log.write.partitionBy("topic", "batch").parquet(f"{tmp_path}/log")
+    stored = spark.read.schema("partition int, offset long, topic string, batch string").parquet(f"{tmp_path}/log")
+    for i in range(7):
+        zones.add_zones(stored, f"{tmp_path}/zones", f"b{i}")
+        zones.add_zones(stored, f"{tmp_path}/zones", f"b{i}")
+    table = zones.read_zones(spark, f"{tmp_path}/zones")
+    assert {(r.topic, r.partition): r.end_offset for r in zones.ends_by_zones(table).collect()} == {
+        ("long", 0): 60, ("long", 1): 61, ("short", 0): 5, ("short", 1): 6,
+    }
+    tail = zones.tail_by_zones(stored, table, 8)
+    want = {(t, p, o) for t, _, p, o in rows if o >= {"long": 60, "short": 5}[t] + p - 8}
+    assert {(r.topic, r.partition, r.offset) for r in tail.collect()} == want
+    assert "dynamicpruning" in plan_of(tail).lower()

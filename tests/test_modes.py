@@ -49,7 +49,7 @@ def test_event_styles(spark, root):
     assert rows(out["facts"], "event_type", "order_id") == [("OrderPaid", "order-777")]
     state = out["states"].first()
     assert (state.aggregate_id, state["name"], state.segment, state.status, state.version) == (
-        "customer-19", "ACME", "B2B", "ACTIVE", 5,
+        "customer-19", "Northlight", "B2B", "ACTIVE", 5,
     )
 
 
