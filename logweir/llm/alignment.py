@@ -22,18 +22,22 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bpe import PieceIds, pieces_of
 from .common import batches_of, staged
 
 #: Bytes of text a task encodes at a time.
 SLICE = 1 << 20
 #: Pairs with counts that may be broadcast (about 40 bytes each).
 BROADCAST = 400_000
+#: Characters outside Latin, Cyrillic and common punctuation, about which versions of Unicode may disagree.
+UNFAMILIAR = re.compile("[^\x00-\u036f\u0400-\u04ff\u2010-\u2027\u2030-\u205e]")
 #: A pair of ids as one number; ids of either side are below it.
 SHIFT = 1 << 20
 SCHEMA = (
@@ -61,8 +65,8 @@ def byte_letters() -> dict[str, int]:
 
 
 @lru_cache(maxsize=2)
-def byte_level(path: str) -> Vocabulary:
-    """A byte-level BPE vocabulary; texts get a space in front."""
+def byte_level(path: str, pattern: str) -> Vocabulary:
+    """A byte-level BPE vocabulary whose texts are cut by ``pattern`` and merged by id; they get a space in front."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -74,15 +78,24 @@ def byte_level(path: str) -> Vocabulary:
         if all(x in letters for x in token):
             tokens[i] = bytes(letters[x] for x in token)
 
-    def encode(texts: list[str]) -> list[list[int]]:
-        found = tokenizer.encode_batch_fast([" " + x for x in texts], add_special_tokens=False)
-        return [x.ids for x in found]
+    special = set(tokenizer.get_added_tokens_decoder())
+    memory = PieceIds({token: i for i, token in enumerate(tokens) if token and i not in special})
+
+    def encode(texts: list[str]) -> list[np.ndarray]:
+        """Familiar texts by the pairs' ranks, which are the ids of what they merge to; others by the library."""
+        spaced = [" " + x for x in texts]
+        cut = [None if UNFAMILIAR.search(x) else pieces_of(x, pattern) for x in spaced]
+        ids = iter(memory.look_up(list(chain.from_iterable(x for x in cut if x))))
+        strange = [x for x, found in zip(spaced, cut) if found is None]
+        others = iter(tokenizer.encode_batch_fast(strange, add_special_tokens=False))
+        made = (np.array(next(others).ids) if x is None else np.frombuffer(b"".join(islice(ids, len(x))), "<u4") for x in cut)
+        return [x.astype(np.int64) for x in made]
 
     return Vocabulary(tokens, encode)
 
 
 @lru_cache(maxsize=2)
-def pieces(path: str) -> Vocabulary:
+def piecewise(path: str) -> Vocabulary:
     """A vocabulary of pieces with byte fallback, which puts a space in front by itself."""
     import sentencepiece
 
@@ -186,11 +199,11 @@ def aligned(texts: list[str | None], left: Vocabulary, right: Vocabulary) -> lis
     return out
 
 
-def alignments(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
+def alignments(docs: DataFrame, byte_path: str, piece_path: str, pattern: str) -> DataFrame:
     """``SCHEMA`` of every row of ``docs``; ``row`` tells rows with the same id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left, right = byte_level(byte_path), pieces(piece_path)
+        left, right = byte_level(byte_path, pattern), piecewise(piece_path)
         for batch in batches:
             for start, stop in batches_of(batch.column("text"), SLICE):
                 part = batch.slice(start, stop - start)
@@ -224,10 +237,10 @@ def pair_counts(linked: DataFrame) -> DataFrame:
     return counts.select("pair", "docs", (F.col("docs") == F.max("docs").over(of_a)).alias("best"))
 
 
-def token_links(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
+def token_links(docs: DataFrame, byte_path: str, piece_path: str, pattern: str) -> DataFrame:
     """Per document: tokens of either side, groups, links, links whose pair is the most held of its A id, the sum of the links'
     counts, and the digest of the groups."""
-    linked = staged(alignments(docs, byte_path, piece_path), "alignment")
+    linked = staged(alignments(docs, byte_path, piece_path, pattern), "alignment")
     counts = staged(pair_counts(linked), "alignment-counts")
     if counts.count() <= BROADCAST:
         counts = F.broadcast(counts)

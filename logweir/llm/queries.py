@@ -61,7 +61,7 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
-    return alignment.token_links(table(spark, sf_dir, "documents"), *paths)
+    return alignment.token_links(table(spark, sf_dir, "documents"), *paths, public_tokenizers.PATTERN)
 
 
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,4 +95,4 @@ QUERIES = {
     "pipeline": pipeline,
 }
 
-ORACLES: dict[str, str] = {"op1_license_scan": licenses.oracle_sql()}
+ORACLES: dict[str, str] = {"op1_license_scan": licenses.oracle_sql(), "op12_merkle_manifest": merkle.oracle_sql()}

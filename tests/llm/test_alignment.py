@@ -1,10 +1,13 @@
 import hashlib
+import json
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from logweir.llm import alignment
 from logweir.llm.queries import QUERIES
@@ -13,6 +16,14 @@ PATHS = tuple(map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.m
 COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
 
+def library():
+    """The byte-level side by the library alone."""
+    tokenizer = Tokenizer.from_file(PATHS[0])
+    tokenizer.encode_special_tokens = True
+    encode = lambda texts: [x.ids for x in tokenizer.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    return alignment.Vocabulary(alignment.byte_level(PATHS[0], public_tokenizers.PATTERN).tokens, encode)
+
+
 def groups_of(text, left, right):
     """Groups by walking both sides, or None where a text has no tokens."""
     if not text:
@@ -36,7 +47,7 @@ def groups_of(text, left, right):
 
 
 def plain(rows):
-    left, right = alignment.byte_level(PATHS[0]), alignment.pieces(PATHS[1])
+    left, right = library(), alignment.piecewise(PATHS[1])
     found = [(r.doc_id, groups_of(r.text, left, right)) for r in rows]
     counts = Counter()
     for _, groups in found:
@@ -93,10 +104,24 @@ def test_odd_texts_nulls_and_repeats(spark, docs_of, monkeypatch, limit):
     rows = [(i, x) for i, x in enumerate(texts())]
     rows += [(1, "one more"), (1, "one more"), (None, "no id"), (None, None), (500, None), (501, "word " * 40_000)]
     docs = docs_of(rows)
-    got = found(alignment.token_links(docs, *PATHS))
+    got = found(alignment.token_links(docs, *PATHS, public_tokenizers.PATTERN))
     assert got == sorted(plain(docs.collect()), key=str)
     assert sum(r[1] > 0 for r in got) > 40
 
 
 def test_empty_table(spark, docs_of):
-    assert found(alignment.token_links(docs_of([(1, "x")]).limit(0), *PATHS)) == []
+    assert found(alignment.token_links(docs_of([(1, "x")]).limit(0), *PATHS, public_tokenizers.PATTERN)) == []
+
+
+def test_ids_are_the_librarys_for_every_familiar_character():
+    familiar = [chr(c) for c in range(0x10000) if not alignment.UNFAMILIAR.search(chr(c))]
+    rows = [f"a{c}1{c}{c} {c}b  {c}\n{c}'s{c}" for c in familiar] + list(texts())
+    assert len(familiar) > 1000
+    got = alignment.byte_level(PATHS[0], public_tokenizers.PATTERN).encode(rows)
+    assert list(map(list, got)) == library().encode(rows)
+
+
+def test_a_pair_that_merges_first_has_the_lower_id():
+    model = json.loads(Path(PATHS[0]).read_text())["model"]
+    made = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    assert made == sorted(made) and not model.get("ignore_merges")
