@@ -11,8 +11,8 @@ Two ways to deal:
             is 16 bits of a 64-bit fingerprint: no shard ever has more than 65,536 members.
 ``seeds``   for a larger radius with a check of the shingles: the shards are named by pairs of the six
             smallest shingle hashes. Texts whose shingles are alike by 0.8 share two of the six with a
-            probability of 0.998. A shard of any size is searched in blocks, and its pairs are checked until
-            they are joined or found unlike.
+            probability of 0.998. A shard of any size is searched in blocks; what is then still apart in it is
+            checked against leaders and at last meets by an exact prefix filter.
 
 A shard's tree is built by the task that owns the shard and never broadcast: all trees together grow with
 the documents. A shard gives a few links per member at most, so groups of copies are not expanded into pairs.
@@ -31,19 +31,19 @@ from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bktree import shard_links
-from .common import batches_of, staged
+from .common import batches_of, numbered, staged
 from .graph import components
 
 SEED = 42
 BLOCKS, EQUAL = 8, 6
 SEEDS = 6
-#: Nearest fingerprints of each member whose shingles are checked first, and linked members of a shard that all
-#: its others are checked against next. Both only save work: what they leave apart is checked pair by pair.
-NEAR, HUBS = 4, 8
+#: Nearest fingerprints of each member whose shingles are checked first, and the share of its checks that a round of leaders
+#: must join to be followed by another. Both only save work: what they leave apart meets by the prefix filter.
+NEAR, GOOD = 4, 0.2
 #: Members of a shard that one task searches.
 BLOCK = 1 << 13
 #: What makes two texts the same: the fingerprint, and with a check also their set of shingles.
@@ -209,6 +209,35 @@ def near_duplicates(
     )
 
 
+#: Keys of rows whose id does not name one text; beyond all ids that are counted upwards.
+UNNAMED = 1 << 62
+
+
+def with_keys(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a key ``name`` for every pair of id and text: the id where it stands for one text. Texts that share an
+    id, or have none, get keys above UNNAMED in the order of id (NULL last) and digest."""
+    text = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256)
+    kinds = docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("digest"))
+    odd = kinds.groupBy("id").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+    odd = odd.where("id is null or low < high").select(F.col("id").alias("odd"))
+    odd = kinds.join(odd, kinds["id"].eqNullSafe(odd["odd"]), "left_semi").distinct()
+    odd = staged(odd.withColumn("last", F.col("id").isNull()), "simhash-odd")
+    keys = numbered(odd, "last", "id", "digest").select("id", "digest", (F.col("place") + UNNAMED).alias(name))
+    here = F.col("doc_id").cast("long").eqNullSafe(keys["id"]) & (text == keys["digest"])
+    return docs.join(keys, here, "left").select(*docs.columns, F.coalesce(name, F.col("doc_id").cast("long")).alias(name))
+
+
+def kept_documents(docs: DataFrame, words: int, radius: int, alike: float) -> DataFrame:
+    """One row of each group of alike texts: the one with the least key of ``with_keys``."""
+    name = "key"
+    while name in docs.columns:
+        name += "_"
+    rows = staged(with_keys(docs, name), "simhash-keyed")
+    groups = near_duplicates(rows.select(F.col(name).alias("doc_id"), "text"), words, radius, alike)
+    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
+    return rows.join(first, name, "left_semi").dropDuplicates([name]).select(*docs.columns)
+
+
 def hex_of(f0: str, f1: str, wide: bool) -> Column:
     digits = lambda name: F.lower(F.lpad(F.hex(F.col(name)), 16, "0"))
     return F.concat(digits(f1), digits(f0)) if wide else digits(f0)
@@ -248,63 +277,107 @@ def checked_links(links: DataFrame, sets: DataFrame, alike: float) -> DataFrame:
 
 def still_apart(shards: DataFrame, links: DataFrame) -> DataFrame:
     """``shards`` whose members ``links`` leave in several groups, with each member's group ``root`` and its
-    links ``degree``, and the ``major`` group of the shard."""
+    links ``degree``."""
     ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
     roots = components(links, "simhash-joined").join(ends, "node")
     rows = shards.join(roots, shards["member"] == roots["node"], "left").select(
         *shards.columns, F.coalesce("root", "member").alias("root"), F.coalesce("degree", F.lit(0)).alias("degree")
     )
-    # Counted by group first, so that a shard of one large group sends a row per task.
-    groups = rows.groupBy("k1", "k2", "root").count().groupBy("k1", "k2")
-    open_ = groups.agg(F.max_by("root", F.struct("count", "root")).alias("major"), F.count("*").alias("groups"))
-    return staged(rows.join(open_.where("groups > 1").drop("groups"), ["k1", "k2"]), "simhash-apart")
+    # The least and the greatest root are combined inside each task, so that a shard of any size sends a row per task.
+    open_ = rows.groupBy("k1", "k2").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return staged(rows.join(open_.select("k1", "k2"), ["k1", "k2"], "left_semi"), "simhash-apart")
 
 
-def apart_pairs(data: DataFrame, queries: DataFrame, on: list[str], radius: int, more: Column) -> DataFrame:
-    """Pairs ``a, b`` of members of different groups within ``radius``, a query and a member each."""
-    query = queries.select(*on, *(F.col(c).alias(f"q_{c}") for c in ("f0", "f1", "member", "root")))
-    apart = F.bit_count(F.col("f0").bitwiseXOR(F.col("q_f0"))) + F.bit_count(F.col("f1").bitwiseXOR(F.col("q_f1")))
+def leader_links(apart: DataFrame, sets: DataFrame, radius: int, alike: float) -> list[DataFrame]:
+    """Links of ``apart`` members to leaders of their shard.
+
+    In every round each shard's member with the most links leads: all members of other groups are checked against it,
+    and those that join, with its own group, take no further part there. Rounds go on while they join a good part of what they
+    check. A round checks each member of a shard once.
+    """
+    made, rest = [], apart
+    while True:
+        best = F.max_by(F.struct("member", "root", "f0", "f1"), F.struct("degree", -F.col("member"))).alias("lead")
+        lead = rest.groupBy("k1", "k2").agg(best)
+        left = rest.join(lead, ["k1", "k2"]).where(F.col("root") != F.col("lead.root"))
+        bits = F.bit_count(F.col("f0").bitwiseXOR(F.col("lead.f0"))) + F.bit_count(F.col("f1").bitwiseXOR(F.col("lead.f1")))
+        left = staged(left.withColumn("near", bits <= radius), "simhash-led")
+        pairs = left.where("near").select(F.col("lead.member").alias("a"), F.col("member").alias("b")).distinct()
+        new = staged(checked_links(pairs, sets, alike), "simhash-alike")
+        tried, joined = pairs.count(), new.count()
+        if joined:
+            made.append(new)
+        if joined < GOOD * tried or not tried:
+            return made
+        both = new.select(F.struct("a", "b").alias("link"))
+        link = F.struct(F.greatest("lead.member", "member").alias("a"), F.least("lead.member", "member").alias("b"))
+        rest = left.withColumn("link", link).join(both, "link", "left_anti").select(*apart.columns)
+        rest = staged(rest, "simhash-rest")
+
+
+def prefix_pairs(apart: DataFrame, sets: DataFrame, alike: float) -> DataFrame:
+    """Pairs ``a, b`` of ``apart`` members of different groups: all whose sets can be alike by ``alike``.
+
+    The shingles of a set stand in the order of how few of these members hold them. Two sets x and y, x no smaller, that
+    are alike by t share one among the first |x| - ceil(t |x|) + 1 of x and the first |y| - ceil(2t/(1+t) |y|) + 1 of y, with
+    enough of both behind it. What a crowd has in common (a template) is frequent and stands behind these places, unless it
+    makes its members alike by nearly t.
+    """
+    members = staged(apart.select("member", "root").distinct(), "simhash-members")
+    held = sets.join(members, sets["doc_id"] == members["member"]).select("member", "root", "shingles")
+    rows = held.select("member", "root", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+    often = rows.groupBy("shingle").agg(
+        F.count("*").alias("often"), (F.min("root") != F.max("root")).alias("mixed")
+    )
+    # A shingle of one member takes a place and joins nothing: counted, not shuffled again.
+    ranked = rows.join(often.where("often > 1"), "shingle").groupBy("member", "root", "size")
+    ranked = ranked.agg(F.sort_array(F.collect_list(F.struct("often", "shingle", "mixed"))).alias("order"))
+    place = (F.col("size") - F.size("order") + F.col("at") + 1).alias("place")
+    first = ranked.select("member", "root", "size", "order", F.posexplode("order").alias("at", "one"))
+    first = first.select("member", "root", "size", place, F.col("one.shingle").alias("shingle"), F.col("one.mixed").alias("mixed"))
+    # A hair is taken off, so that rounding never shortens a prefix.
+    bound = lambda share: F.col("size") - F.ceil(F.col("size") * F.lit(share) - 1e-9) + 1
+    probe = first.where(F.col("mixed") & (F.col("place") <= bound(alike)))
+    probe = staged(probe.withColumn("index", F.col("place") <= bound(2 * alike / (1 + alike))), "simhash-prefixes")
+    y = probe.where("index").select("shingle", *(F.col(c).alias(f"y_{c}") for c in ("member", "root", "size", "place")))
+    behind = F.least(F.col("size") - F.col("place"), F.col("y_size") - F.col("y_place")) + 1
+    larger = (F.col("size") > F.col("y_size")) | ((F.col("size") == F.col("y_size")) & (F.col("member") > F.col("y_member")))
     return (
-        data.join(query, on)
-        .where((F.col("root") != F.col("q_root")) & (apart <= radius) & more)
-        .select(F.col("q_member").alias("a"), F.col("member").alias("b"))
+        probe.join(y, "shingle")
+        .where(
+            larger
+            & (F.col("root") != F.col("y_root"))
+            & (F.col("y_size") >= F.col("size") * F.lit(alike) - 1e-9)
+            & (behind >= (F.col("size") + F.col("y_size")) * F.lit(alike / (1 + alike)) - 1e-9)
+        )
+        .select(F.col("member").alias("a"), F.col("y_member").alias("b"))
+        .distinct()
     )
 
 
 def alike_links(named: DataFrame, docs: DataFrame, words: int, radius: int, alike: float) -> DataFrame:
     """Links whose texts' shingle sets have a Jaccard similarity of ``alike`` or more, enough to join whatever any
-    candidates join: pairs of one shard within ``radius``.
+    of them joins.
 
-    First each member is checked against its nearest in its block of the shard, then, while that links more, against the
-    members of the shard with the most links, which finds the origin of a crowd of copies. What the links have not
-    joined by then is checked in full: every member outside the shard's largest group against all others of the
-    shard that are not in its own group.
+    First each member is checked against its nearest in its block of the shard, by the shard's BK-tree. Then members are checked
+    against leaders of their shard, which finds the origin of a crowd of copies. All members of the shards that are still in several
+    groups by then meet by an exact prefix filter, whatever their fingerprints.
     """
     shards = seed_shards(named)
     sizes = staged(shards.groupBy("k1", "k2").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK), "simhash-sizes")
     found = staged(links_of(dealt(shards, sizes), radius, NEAR, ("k1", "k2", "block")), "simhash-links")
-    # Members alone in a shard, or far from all others of it, take no further part; those of a split one do.
-    live = found.select(F.explode(F.array("a", "b")).alias("member"))
-    live = staged(live.union(shards.join(sizes, ["k1", "k2"], "left_semi").select("member")).distinct(), "simhash-live")
+    shards = staged(shards, "simhash-shards")
+    links = found.where("not bridge").select("a", "b")
+    # Members alone in all their shards take no further part.
+    many = shards.groupBy("k1", "k2").agg(F.min("member").alias("low"), F.max("member").alias("high")).where("low < high")
+    shards = staged(shards.join(many.select("k1", "k2"), ["k1", "k2"], "left_semi"), "simhash-met")
+    live = staged(shards.select("member").distinct(), "simhash-live")
     texts = docs.join(live, docs["doc_id"] == live["member"], "left_semi").select("doc_id", "text")
     sets = staged(with_shingles(texts.groupBy("doc_id").agg(F.min("text").alias("text")), words), "simhash-sets")
-    shards = staged(dealt(seed_shards(named.join(live, "member", "left_semi")), sizes), "simhash-shards")
 
-    links = staged(checked_links(found.where("not bridge").select("a", "b"), sets, alike), "simhash-alike")
+    links = staged(checked_links(links, sets, alike), "simhash-alike")
     apart = still_apart(shards, links)
-    while not apart.isEmpty():
-        best = Window.partitionBy("k1", "k2").orderBy(F.desc("degree"), "member")
-        hubs = apart.where("degree > 0").withColumn("place", F.row_number().over(best)).where(F.col("place") <= HUBS)
-        new = staged(checked_links(apart_pairs(apart, hubs, ["k1", "k2"], radius, F.lit(True)), sets, alike), "simhash-alike")
-        if new.isEmpty():
-            break
+    for new in leader_links(apart, sets, radius, alike):
         links = links.union(new)
-        apart = still_apart(shards, links)
-
-    # A query meets every block of its shard; two queries meet once.
-    outside = apart.where("root != major")
-    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    queries = outside.withColumn("block", each)
-    once = (F.col("root") == F.col("major")) | (F.col("member") < F.col("q_member"))
-    rest = apart_pairs(apart, queries, ["k1", "k2", "block"], radius, once)
-    return links.union(staged(checked_links(rest, sets, alike), "simhash-alike"))
+    apart = still_apart(shards, links)
+    return links.union(staged(checked_links(prefix_pairs(apart, sets, alike), sets, alike), "simhash-alike"))

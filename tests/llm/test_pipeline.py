@@ -133,3 +133,10 @@ def test_stages_take_awkward_rows(spark, docs_of, tmp_path):
                 assert rows.columns == docs.columns
             if name == "near_duplicates" and make is docs:
                 assert sorted((r.doc_id or 0) for r in rows.collect()) == [0, 1, 3, 5, 6]
+
+
+def test_texts_that_share_an_id_are_documents_of_their_own(spark, sf_dir, docs_of):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    docs = docs_of([(1, a), (1, b), (1, b), (2, c), (None, c), (None, a + " end"), (None, "own words")])
+    got = corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, "own words"), (1, a), (1, b), (2, c)]
