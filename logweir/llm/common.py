@@ -26,6 +26,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hands Python workers ``rows`` texts at a time. Spark's own default of ten thousand is copied several times over, in a
+    worker and beside the heap of its executor, and whole texts are long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def dropped(df: DataFrame) -> None:
     """Removes a ``staged`` table that nothing reads any more."""
     for folder in {path.rpartition("/")[0] for path in df.inputFiles()}:

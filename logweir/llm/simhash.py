@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bktree import shard_links
-from .common import batches_of, numbered, staged
+from .common import batches_of, numbered, small_batches, staged
 from .graph import components
 
 SEED = 42
@@ -48,7 +48,7 @@ NEAR, GOOD = 4, 0.2
 BLOCK = 1 << 13
 #: What makes two texts the same: the fingerprint, and with a check also their set of shingles.
 CLASS = ("f0", "f1", "same")
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 
 def shingle_hashes(text: str | None, n: int) -> tuple[np.ndarray, list[bytes]]:
@@ -229,6 +229,7 @@ def with_keys(docs: DataFrame, name: str) -> DataFrame:
 
 def kept_documents(docs: DataFrame, words: int, radius: int, alike: float) -> DataFrame:
     """One row of each group of alike texts: the one with the least key of ``with_keys``."""
+    small_batches(docs.sparkSession)
     name = "key"
     while name in docs.columns:
         name += "_"
