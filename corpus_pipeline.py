@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from logweir.llm import bpe, mixing, quality, secrets, simhash
-from logweir.llm.common import staged, table
+from logweir.llm.common import small_batches, staged, table
 from logweir.llm.queries import tokenizer_path
 
 
@@ -47,6 +47,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     empty and has none; repeated rows each give a row."""
     import public_tokenizers
 
+    small_batches(spark)
     return bpe.token_digests(docs, tokenizer_path(), public_tokenizers.PATTERN)
 
 
