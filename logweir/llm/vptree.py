@@ -359,6 +359,7 @@ def nearest(
     kth = one.groupBy("query_id").agg(F.min("score").alias("score"), F.count("*").alias("n")).where(F.col("n") >= k)
     square = F.greatest(squares + F.lit(float(most)) - 2 * F.col("score"), F.lit(0.0))
     ready = asked.join(kth, asked["id"] == kth["query_id"], "left")
-    ready = ready.select("id", "v", F.coalesce(F.sqrt(square), F.lit(float("inf"))).alias("within"))
+    within = F.when(F.col("score").isNull(), F.lit(float("inf"))).otherwise(F.sqrt(square))
+    ready = ready.select("id", "v", within.alias("within"))
     two = searched(ready.mapInArrow(sent(False), kinds))
     return best(one.unionByName(two)).select("query_id", "rank", "vec_id", "score")

@@ -63,3 +63,29 @@ def test_edge_cases(spark):
     assert got == {0: [(1, 4.0), (1, 4.0), (2, -1.0)]}
     assert vptree.nearest(frame.limit(0), frame.limit(0)).count() == 0
     assert vptree.nearest(frame, frame.limit(0)).count() == 0
+
+
+def test_region_bounds_hold_and_skip_far_clusters():
+    draw = np.random.default_rng(6)
+    centres = draw.normal(size=(16, 6)) * 20
+    points = np.repeat(centres, 100, 0) + draw.normal(size=(1600, 6))
+    regions = vptree.Regions(points[::4], 4)
+    region, far = regions.place(points)
+    low, high = np.full((16, 4), np.inf), np.full((16, 4), -np.inf)
+    for r in set(region.tolist()):
+        low[r], high[r] = far[region == r].min(axis=0), far[region == r].max(axis=0)
+    queries = points[:40] + draw.normal(size=(40, 6)) * 0.1
+    bound = regions.bounds(queries, low, high)
+    for q in range(40):
+        d = np.sqrt(((points - queries[q]) ** 2).sum(axis=1))
+        for r in set(region.tolist()):
+            assert bound[q, r] <= d[region == r].min() + 1e-6
+    # Clusters lie apart, so most regions cannot hold anything near.
+    assert (bound > 8).mean() > 0.6
+
+
+def test_clashing_columns_are_not_read(spark):
+    rows = [(i, [float(i % 7) + 1, float(i)], 5, "x", 1.0) for i in range(60)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, shard int, region string, within double")
+    got = found(vptree.nearest(frame, frame.where("vec_id % 20 = 0"), relax=1.0, shard=20))
+    assert got == brute({r[0]: r[1] for r in rows}, [0, 20, 40])
