@@ -103,6 +103,29 @@ def test_nulls_repeats_and_long_texts(spark, docs_of, monkeypatch):
     assert found(repeats.without_repeats(docs.limit(0), 40)) == []
 
 
+def test_only_units_of_anchors_that_occur_again_are_kept(spark, docs_of, monkeypatch):
+    kept, gone, write = {}, [], repeats.staged
+
+    def staged(df, name):
+        out = write(df, name)
+        kept[name] = out.count()
+        return out
+
+    drop = repeats.dropped if hasattr(repeats, "dropped") else lambda df: None
+    monkeypatch.setattr(repeats, "staged", staged)
+    monkeypatch.setattr(repeats, "dropped", lambda df: (gone.append(df), drop(df)), raising=False)
+    draw = random.Random(3)
+    some = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    common = some(60)
+    rows = [(i, some(300)) for i in range(30)] + [(100 + i, some(50) + common + some(50)) for i in range(2)]
+    docs = docs_of(rows)
+    got = found(repeats.without_repeats(docs, 40))
+    assert got == sorted(plain(docs.collect(), 40), key=str)
+    assert [r[2] for r in got if r[0] >= 100] == [60, 60]
+    assert kept["repeats-kinds"] < 30  # of some hundred units
+    assert len(gone) == len(kept) - 1  # the spans remain
+
+
 def test_whole_table(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     got = QUERIES["op13_repeated_strings"](spark, sf_dir)
